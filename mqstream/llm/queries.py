@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, secret_scan
+from . import license_scan, line_dedup, packing, resharding, secret_scan
 from .common import table
 
 
@@ -24,9 +24,27 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op8_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.digest(resharding.reshard(table(spark, sf_dir, "documents")))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
+    "op8_resharding": op8_resharding,
+    "op9_license_scan": op9_license_scan,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_license_scan": license_scan.sql(),
+    "op10_line_dedup": line_dedup.SQL,
+}
