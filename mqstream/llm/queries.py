@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, line_dedup, packing, resharding, secret_scan
+from . import license_scan, line_dedup, near_dedup, packing, resharding, secret_scan
 from .common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -37,6 +41,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
     "op8_resharding": op8_resharding,
