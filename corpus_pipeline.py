@@ -1,13 +1,67 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: language ID, line dedup, near-duplicate removal, benchmark decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet to the
+shared folder and rereads it as the next stage's documents. All stages but the last return the columns of
+documents. Stages keep rows whose id is null.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mqstream.llm import decontaminate, language_id, line_dedup, near_dedup, packing
+from mqstream.llm.common import saved, table
+from mqstream.llm.queries import tokenizer_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the ids; they are written first, so that the join knows their size."""
+    return docs.join(saved(ids.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(COLUMNS)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no stated language, or not surely in one, go."""
+    found = language_id.identify(language_id.of_documents(docs))
+    return without(docs, found.where(~F.col("accepted")))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that many documents share stay in one of them."""
+    return line_dedup.dedup(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
+    return without(docs, near_dedup.near_duplicates(docs, words=5).where(~F.col("kept")))
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences with their token ids."""
+    return packing.pack(docs, tokenizer_path(), with_ids=True)
+
+
+STAGES = [
+    ("language_id", language_stage),
+    ("line_dedup", line_stage),
+    ("near_dedup", near_stage),
+    ("decontamination", benchmark_stage),
+    ("packing", packing_stage),
+]
+
+#: Language ID, MinHash and packing are beyond SQL; tests hold the pipeline against brute force.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
