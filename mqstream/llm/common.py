@@ -8,8 +8,8 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows in one Arrow batch: texts run to hundreds of kilobytes, so batches stay small.
-ARROW_ROWS = 256
+#: Rows and bytes in one Arrow batch: texts run to hundreds of kilobytes, so batches stay small.
+ARROW_ROWS, ARROW_BYTES = 256, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bound what a Python worker holds at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def scratch(spark: SparkSession) -> str:
@@ -46,3 +47,14 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """Texts as UTF-8, null as empty."""
     column = batch.column(batch.schema.get_field_index(name))
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Column names like these that none of the taken ones equals, whatever its case."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out

@@ -4,7 +4,7 @@ Each document has two collections of ``bands`` short sub-keys, each made of ``ro
 key is a pair of one sub-key of either collection, so bands * bands tables of 2 * rows values each cost only
 2 * bands * rows MinHash values, about the square root of what separate tables would need. Two documents
 meet in a table exactly if they share a sub-key of each collection; at similarity s with p = s ** rows that
-has probability (1 - (1 - p) ** bands) ** 2, which is 0.997 at 0.8 with the defaults. Sub-keys that only one
+has probability (1 - (1 - p) ** bands) ** 2, which is 0.996 at 0.8 with the defaults. Sub-keys that only one
 document has can meet nothing and are left out before pairs are formed.
 
 Candidates are confirmed on the full shingle sets (64-bit hashes of all shingles):
@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from .common import batch_of, saved, small_batches, texts_of
 from .components import components
 
-WORDS, PERCENT, BANDS, ROWS = 2, 80, 9, 3
+WORDS, PERCENT, BANDS, ROWS = 2, 80, 12, 4
+TABLE = ["l", "r"]
 BLOCK = 32
 CHUNK = 8192
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -163,19 +164,39 @@ def packed(rows: DataFrame, by: str, salt: str) -> DataFrame:
     return dealt.groupBy(by, "pack").agg(F.collect_list(F.struct("doc", "comp", "text")).alias("items"))
 
 
-def shared(rows: DataFrame, key: str) -> DataFrame:
+def shared(rows: DataFrame, *key: str) -> DataFrame:
     """The rows whose key occurs more than once. Counts combine before the shuffle, and a hot key's rows are split."""
-    hot = saved(rows.groupBy(key).count().where("count > 1").select(key), "shared-keys")
-    return rows.join(hot, key)
+    hot = saved(rows.groupBy(*key).count().where("count > 1").select(*key), "shared-keys")
+    return rows.join(hot, list(key))
 
 
 def table_keys(reps: DataFrame) -> DataFrame:
-    """(key, doc, n) for each table in which a document can meet another."""
+    """(l, r, doc) for each table in which a document meets another; the table's key is the pair (l, r)."""
     sides = reps.select("doc", F.explode(F.concat(F.transform("left", lambda k: F.struct(F.lit(0).alias("side"), k.alias("sub"))), F.transform("right", lambda k: F.struct(F.lit(1).alias("side"), k.alias("sub"))))).alias("x"))
     met = saved(shared(sides.select("doc", "x.side", "x.sub"), "sub"), "sub-keys")
     left = met.where("side = 0").select("doc", F.col("sub").alias("l"))
     right = met.where("side = 1").select("doc", F.col("sub").alias("r"))
-    return shared(left.join(right, "doc").select(F.xxhash64("l", "r").alias("key"), "doc"), "key")
+    return shared(left.join(right, "doc").select("l", "r", "doc"), *TABLE)
+
+
+def meeting(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """(comp, to) columns of both sides for components that meet in a table, where their set sizes allow a link."""
+    other = others.select(*TABLE, *(F.col(c).alias(f"to_{c}") for c in others.columns if c not in TABLE))
+    fits = (100 * F.col("most") >= percent * F.col("to_least")) & (100 * F.col("to_most") >= percent * F.col("least"))
+    return rows.join(other, TABLE).where(fits)
+
+
+def group_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (comp, to) in which ``to``, the larger, has several documents."""
+    met = meeting(mixed, mixed.where("held > 1"), percent).where(F.struct("held", "comp") < F.struct("to_held", "to_comp"))
+    return met.select("comp", F.col("to_comp").alias("to")).distinct()
+
+
+def single_pairs(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (comp, to) of single documents, each from the first table they share only."""
+    single = mixed.where("held = 1").join(reps.select(F.col("doc").alias("comp"), "left", "right"), "comp")
+    first = (F.array_intersect("left", "to_left")[0] == F.col("l")) & (F.array_intersect("right", "to_right")[0] == F.col("r"))
+    return meeting(single, single, percent).where((F.col("comp") < F.col("to_comp")) & first).select("comp", F.col("to_comp").alias("to"))
 
 
 def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -183,8 +204,8 @@ def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: st
     reps = sigs.where("doc = rep AND n > 0").select("doc", "n", "left", "right")
     tables = saved(table_keys(reps), "tables")
     # Each document's best centre.
-    centres = saved(tables.groupBy("key").agg(F.min("doc").alias("centre")), "centres")
-    votes = tables.join(centres, "key").where("doc <> centre").groupBy("doc", "centre").agg(F.count("*").alias("votes"))
+    centres = saved(tables.groupBy(*TABLE).agg(F.min("doc").alias("centre")), "centres")
+    votes = tables.join(centres, TABLE).where("doc <> centre").groupBy("doc", "centre").agg(F.count("*").alias("votes"))
     best = votes.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre"))
     candidates = tables.select("doc").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(candidates, "doc", "left_semi")
@@ -197,12 +218,9 @@ def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: st
     sizes = sigs.where("doc = rep").groupBy("doc").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     members = saved(candidates.join(comps.withColumnRenamed("node", "doc"), "doc", "left").join(sizes, "doc").select("doc", F.coalesce("comp", "doc").alias("comp"), "least", "most"), "members")
     groups = saved(members.groupBy("comp").agg(F.count("*").alias("held"), F.min("least").alias("least"), F.max("most").alias("most")), "groups")
-    placed = tables.join(members.select("doc", "comp"), "doc").groupBy("key", "comp").agg(F.lit(1).alias("one")).select("key", "comp")
-    placed = saved(placed, "placed")
-    mixed = shared(placed, "key").join(groups, "comp").select("key", F.struct("held", "comp").alias("of"), "least", "most")
-    other = mixed.select("key", F.col("of").alias("to"), F.col("least").alias("to_least"), F.col("most").alias("to_most"))
-    fits = (F.col("of") < F.col("to")) & (100 * F.col("most") >= percent * F.col("to_least")) & (100 * F.col("to_most") >= percent * F.col("least"))
-    pairs = saved(mixed.join(other, "key").where(fits).select(F.col("of.comp").alias("comp"), F.col("to.comp").alias("to")).distinct(), "pairs")
+    placed = saved(tables.join(members.select("doc", "comp"), "doc").select(*TABLE, "comp").distinct(), "placed")
+    mixed = saved(shared(placed, *TABLE).join(groups, "comp"), "mixed")
+    pairs = saved(group_pairs(mixed, percent).union(single_pairs(mixed, reps, percent)), "pairs")
     held = members.select("doc", "comp").join(texts, "doc")
     xs = packed(pairs.join(held, "comp"), "to", "doc").withColumnRenamed("items", "xs")
     wanted = pairs.select(F.col("to").alias("comp")).distinct()
