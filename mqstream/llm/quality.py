@@ -134,7 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, fit_rows: int = FIT_
             none = [None] * len(part)
             yield batch_of({"doc": (part.tolist(), pa.int64()), "label": (none, pa.int32()), "x": (none, pa.binary()), "ones": (found[1, part].tolist(), pa.int64()), "zeros": (found[0, part].tolist(), pa.int64())})
 
-    rows = marks.join(texts, "doc").select("doc", "label", "fits", "text")
+    # The same join at every size: which side is small would otherwise decide what is shuffled.
+    rows = marks.hint("merge").join(texts, "doc").select("doc", "label", "fits", "text")
     seen = saved(rows.mapInArrow(count, "doc long, label int, x binary, ones long, zeros long"), "quality")
     # At most WIDTH rows.
     totals = seen.where("label IS NULL").groupBy("doc").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).toArrow()
