@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType
 
 from .common import batch_of, saved, small_batches, texts_of
 from .ngrams import SIZE, STEP, trigrams
@@ -118,70 +118,79 @@ def text_support(raw: bytes, model: np.ndarray) -> np.ndarray:
     return log - log.max()
 
 
+def shares(logs: np.ndarray) -> np.ndarray:
+    """Probabilities along the last axis."""
+    powers = np.exp(logs - logs.max(axis=-1, keepdims=True))
+    return powers / powers.sum(axis=-1, keepdims=True)
+
+
+def carried(batch: pa.RecordBatch, names: list[str], more: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A batch of some of the columns and new ones."""
+    return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *more.values()], names=[*names, *more])
+
+
 def evidence(rows: DataFrame, model: np.ndarray) -> DataFrame:
-    """rows without their text, with ``support``."""
+    """rows without their text, with ``support`` and, as if all classes were as likely before, ``says``."""
     others = [c for c in rows.columns if c != "text"]
-    schema = rows.select(*others).schema.add("support", ArrayType(DoubleType()))
+    schema = rows.select(*others).schema.add("support", ArrayType(DoubleType())).add("says", ArrayType(DoubleType()))
     kept = pa.list_(pa.float64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [text_support(raw, model).tolist() for raw in texts_of(b)]
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in others), pa.array(out, kept)], names=[*others, "support"])
+            out = np.asarray([text_support(raw, model) for raw in texts_of(b)]).reshape(b.num_rows, len(model))
+            yield carried(b, others, {"support": pa.array(out.tolist(), kept), "says": pa.array(shares(out).tolist(), kept)})
 
     return rows.select(*others, "text").mapInArrow(run, schema)
 
 
-def softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs)
-    powers = [F.exp(x - top) for x in logs]
-    total = sum(powers[1:], powers[0])
-    return [p / total for p in powers]
+def declarations(seen: DataFrame, languages: tuple[str, ...]) -> tuple[dict[str, list[float]], list[float]]:
+    """log P(declared | class) for each stated language, NONE and any "other", and each class's share of all texts."""
+    size = len(languages) + 1
+    slots = [*languages, NONE, "other"]
+    slot = F.when(F.col("declared").isin(*slots[:-1]), F.col("declared")).otherwise("other")
+    counts = {r["slot"]: np.asarray(r["n"]) for r in seen.groupBy(slot.alias("slot")).agg(F.array(*(F.sum(F.col("says")[k]) for k in range(size))).alias("n")).collect()}
+    table = np.asarray([counts.get(s, np.zeros(size)) for s in slots])
+    given = np.log((table + SMOOTH) / (table.sum(axis=0) + SMOOTH * len(slots)))
+    whole = (table.sum(axis=0) + SMOOTH) / (table.sum() + SMOOTH * size)
+    return dict(zip(slots, given.tolist(), strict=True)), whole.tolist()
+
+
+def host_priors(seen: DataFrame, whole: list[float]) -> DataFrame:
+    """(of_host, held, prior): a host's soft counts, and what its suffix, smoothed towards the whole, leads to expect."""
+    size = len(whole)
+    hosts = saved(seen.groupBy("host").agg(*(F.sum(F.col("says")[k]).alias(f"n{k}") for k in range(size))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
+    by_suffix = hosts.groupBy("suffix").agg(*(F.sum(f"n{k}").alias(f"s{k}") for k in range(size)))
+    total = sum((F.col(f"s{k}") for k in range(1, size)), F.col("s0")) + SUFFIX_WEIGHT
+    prior = F.array(*((F.col(f"s{k}") + SUFFIX_WEIGHT * whole[k]) / total for k in range(size)))
+    smoothed = saved(by_suffix.select("suffix", prior.alias("prior")), "suffixes")
+    return saved(hosts.join(smoothed, "suffix").select(F.col("host").alias("of_host"), F.array(*(F.col(f"n{k}") for k in range(size))).alias("held"), "prior"), "host-priors")
 
 
 def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = LEAST) -> DataFrame:
     """rows(text, declared, host, ...) without text and host, with language, confidence and accepted."""
-    spark = rows.sparkSession
-    small_batches(spark)
+    small_batches(rows.sparkSession)
     classes = [*languages, UND]
     rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
-    others = [c for c in rows.columns if c not in ("text", "declared", "host")]
-    seen = evidence(rows, train(rows, languages))
-    text = softmax([F.col("support")[k] for k in range(len(classes))])
-    seen = saved(seen.withColumns({f"t{k}": p for k, p in enumerate(text)}), "evidence")
-    sums = [F.sum(f"t{k}").alias(f"n{k}") for k in range(len(classes))]
-    # Declared languages: one row for each stated language, one for no and one for any other.
-    slot = F.when(F.col("declared").isin(*languages, NONE), F.col("declared")).otherwise("other")
-    table = {r["slot"]: [r[f"n{k}"] for k in range(len(classes))] for r in seen.groupBy(slot.alias("slot")).agg(*sums).collect()}
-    slots = [*languages, NONE, "other"]
-    total = [sum(table.get(s, [0.0] * len(classes))[k] for s in slots) for k in range(len(classes))]
-    size = max(1.0, sum(total))
-    # An undeclared class says nothing of itself: without counts all declarations are alike.
-    given = {s: [np.log((table.get(s, [0.0] * len(classes))[k] + SMOOTH) / (total[k] + SMOOTH * len(slots))) for k in range(len(classes))] for s in slots}
-    whole = [(n + SMOOTH) / (size + SMOOTH * len(classes)) for n in total]
-    # Host counts, smoothed towards the suffix, and that towards the whole.
-    hosts = saved(seen.groupBy("host").agg(*sums).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
-    by_suffix = saved(hosts.groupBy("suffix").agg(*(F.sum(f"n{k}").alias(f"s{k}") for k in range(len(classes)))), "suffixes")
-    of_suffix = sum((F.col(f"s{k}") for k in range(1, len(classes))), F.col("s0"))
-    hosts = hosts.join(by_suffix, "suffix").select(
-        F.col("host").alias("of_host"), *(f"n{k}" for k in range(len(classes))),
-        *(((F.col(f"s{k}") + SUFFIX_WEIGHT * whole[k]) / (of_suffix + SUFFIX_WEIGHT)).alias(f"p{k}") for k in range(len(classes))),
-    )
-    hosts = saved(hosts, "host-priors")
-    joined = seen.join(hosts, seen["host"] == hosts["of_host"])
-    held = sum((F.greatest(F.col(f"n{k}") - F.col(f"t{k}"), F.lit(0.0)) for k in range(1, len(classes))), F.greatest(F.col("n0") - F.col("t0"), F.lit(0.0)))
-    logs = []
-    for k in range(len(classes)):
-        prior = (F.greatest(F.col(f"n{k}") - F.col(f"t{k}"), F.lit(0.0)) + HOST_WEIGHT * F.col(f"p{k}")) / (held + HOST_WEIGHT)
-        says = F.lit(float(given["other"][k]))
-        for s in slots[:-1]:
-            says = F.when(F.col("declared") == s, float(given[s][k])).otherwise(says)
-        logs.append(F.col("support")[k] + says + F.log(prior))
-    posterior = joined.select(*others, "declared", *(p.alias(f"q{k}") for k, p in enumerate(softmax(logs))))
-    best = F.array_max(F.array(*(F.struct(F.col(f"q{k}").alias("q"), F.lit(-k).alias("k")) for k in range(len(classes)))))
-    named = F.element_at(F.array(*map(F.lit, classes)), 1 - F.col("best.k"))
-    out = posterior.withColumn("best", best).select(*others, "declared", named.alias("language"), F.col("best.q").alias("confidence"))
-    return out.withColumn("accepted", (F.col("language") != UND) & (F.col("confidence") >= least))
+    others = [c for c in rows.columns if c not in ("text", "host")]
+    seen = saved(evidence(rows, train(rows, languages)), "evidence")
+    given, whole = declarations(seen, languages)
+    hosts = host_priors(seen, whole)
+    joined = seen.join(hosts, seen["host"] == hosts["of_host"]).select(*others, "support", "says", "held", "prior")
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            support, says, held, prior = (np.asarray(b.column(b.schema.get_field_index(c)).to_pylist()).reshape(b.num_rows, len(classes)) for c in ("support", "says", "held", "prior"))
+            rest = np.maximum(held - says, 0.0)  # the host's other documents
+            host = (rest + HOST_WEIGHT * prior) / (rest.sum(axis=1, keepdims=True) + HOST_WEIGHT)
+            declared = np.asarray([given.get(d, given["other"]) for d in b.column(b.schema.get_field_index("declared")).to_pylist()]).reshape(support.shape)
+            posterior = shares(support + declared + np.log(host))
+            best = posterior.argmax(axis=1)
+            sure = posterior[np.arange(len(best)), best]
+            named = [classes[k] for k in best]
+            yield carried(b, others, {"language": pa.array(named, pa.string()), "confidence": pa.array(sure.tolist(), pa.float64()), "accepted": pa.array([k != UND and p >= least for k, p in zip(named, sure, strict=True)], pa.bool_())})
+
+    schema = joined.select(*others).schema.add("language", StringType()).add("confidence", DoubleType()).add("accepted", BooleanType())
+    return joined.mapInArrow(fuse, schema)
 
 
 def of_documents(docs: DataFrame) -> DataFrame:
