@@ -7,9 +7,10 @@ stays costs nothing, a moved one costs 1 (or what ``cost`` says). Blocks are the
 and only shards that gain or lose blocks are rewritten.
 
 The driver holds sizes of blocks and shards only: at most ``blocks`` rows, and for blocks that are too
-large for an even deal (a hot group of equal texts) the sizes of SUB parts each, of which there are at
-most 8 * shards. Documents are never gathered: a document's slot is its part's offset within the shard
-plus its rank within the part, so windows run over small parts, not over whole shards.
+large for an even deal (a hot group of equal texts) the sizes of parts, as many as the block's share of all
+bytes calls for: at most FINE + 8 for each shard, whatever the corpus. Documents are never gathered: a
+document's slot is its part's offset within the shard plus its rank within the part, so windows run over
+small parts, not over whole shards.
 
 A null text has no bytes. Null ids and repeated rows are placed like others, each row in a slot of its
 own. An empty table gives no rows. Extra columns are ignored.
@@ -20,12 +21,13 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import fresh, saved
 
-ROW_BYTES, SUB = 16, 64
+ROW_BYTES, FINE, SUBS = 16, 64, 1 << 20
+PLAN = "block int, sub int, old_shard int, shard int, first long"
 
 
 def min_cost_flow(supply: list[int], room: list[int], cost: list[list[int]]) -> list[list[int]]:
@@ -83,11 +85,11 @@ def min_cost_flow(supply: list[int], room: list[int], cost: list[list[int]]) ->
     return flow
 
 
-def deal(parts: list[tuple[int, int, int]], flow: list[list[int]], room: list[int]) -> dict[int, int]:
+def deal(parts: list[tuple[tuple[int, int], int, int]], flow: list[list[int]], room: list[int]) -> dict[tuple[int, int], int]:
     """Part -> new shard, from (part, old shard, bytes). A shard first keeps parts, largest first, up to the bytes that
     the flow leaves in place; the others go, largest first, to where the flow from their shard has most bytes open,
     and once a flow is met to the shard with the most room."""
-    place: dict[int, int] = {}
+    place: dict[tuple[int, int], int] = {}
     open_room, pool = list(room), []
     stays = [row[i] if i < len(row) else 0 for i, row in enumerate(flow)]
     for part, old, size in sorted(parts, key=lambda p: (-p[2], p[0])):
@@ -110,49 +112,50 @@ def sized(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFrame
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.pmod(F.xxhash64(text), F.lit(blocks)).cast("int").alias("block"), F.pmod(F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)), F.lit(SUB)).cast("int").alias("sub"),
+        F.pmod(F.xxhash64(text), F.lit(blocks)).cast("int").alias("block"), F.pmod(F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)), F.lit(SUBS)).cast("int").alias("sub"),
     )
 
 
-def part_of(hot: Column) -> Column:
-    return (F.col("block") * SUB + F.when(hot, F.col("sub")).otherwise(0)).cast("int")
+def in_parts(rows: DataFrame, hot: dict[int, int], block: str = "block", sub: str = "sub") -> DataFrame:
+    """rows with their part within the block: 0, but for hot blocks, which are dealt to as many parts as ``hot`` says."""
+    count = F.lit(1)
+    if hot:  # at most 8 * shards entries
+        table = F.create_map(*(F.lit(x) for pair in hot.items() for x in pair))
+        count = F.coalesce(F.try_element_at(table, F.col(block)), F.lit(1))
+    return rows.withColumn(sub, F.pmod(F.col(sub), count))
 
 
-def plan(sizes: DataFrame, shards: int, old: int, blocks: int) -> list[tuple[int, int, int, int, bool]]:
-    """(part, old shard, new shard, first slot, hot), bounded by ``blocks`` + 8 * shards * SUB rows."""
-    stats = sizes.groupBy("block").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
+def plan(sizes: DataFrame, shards: int, old: int) -> tuple[list[tuple[int, int, int, int, int]], dict[int, int]]:
+    """((block, part, old shard, new shard, first slot) rows, hot blocks with their number of parts)."""
+    sums = [F.sum("size").alias("bytes"), F.count("*").alias("n")]
+    stats = sizes.groupBy("block").agg(*sums).collect()  # at most as many rows as blocks
     total = sum(r["bytes"] for r in stats)
-    hot = [r["block"] for r in stats if r["bytes"] * 8 * shards > total]
-    parts = [(r["block"] * SUB, r["block"] % old, r["bytes"], r["n"], False) for r in stats if r["block"] not in set(hot)]
+    hot = {r["block"]: -(-r["bytes"] * shards * FINE // total) for r in stats if r["bytes"] * 8 * shards > total}
+    parts = [((r["block"], 0), r["block"] % old, r["bytes"], r["n"]) for r in stats if r["block"] not in hot]
     if hot:
-        split = sizes.where(F.col("block").isin(hot)).groupBy("block", "sub").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()
-        parts += [(r["block"] * SUB + r["sub"], r["block"] % old, r["bytes"], r["n"], True) for r in split]
+        split = in_parts(sizes.where(F.col("block").isin(list(hot))), hot).groupBy("block", "sub").agg(*sums).collect()
+        parts += [((r["block"], r["sub"]), r["block"] % old, r["bytes"], r["n"]) for r in split]
     room = [total // shards + (j < total % shards) for j in range(shards)]
     supply = [0] * old
-    for _, i, size, _, _ in parts:
+    for _, i, size, _ in parts:
         supply[i] += size
     flow = min_cost_flow(supply, room, [[int(i != j) for j in range(shards)] for i in range(old)])
     place = deal([p[:3] for p in parts], flow, room)
     slots: dict[int, int] = defaultdict(int)
     out = []
-    for part, i, _, n, is_hot in sorted(parts):
-        out.append((part, i, place[part], slots[place[part]], is_hot))
+    for part, i, _, n in sorted(parts):
+        out.append((*part, i, place[part], slots[place[part]]))
         slots[place[part]] += n
-    return out
+    return out, hot
 
 
 def reshard(docs: DataFrame, shards: int = 40, old: int = 32, blocks: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, old_shard, shard, slot, grown_shard."""
-    spark = docs.sparkSession
     sizes = saved(sized(docs, id_col, text_col, blocks), "sizes")
-    moves = plan(sizes, shards, old, blocks)
-    schema = "part int, old_shard int, shard int, first long, hot boolean"
-    table = spark.createDataFrame(moves, schema)
-    hot = [p // SUB for p, _, _, _, is_hot in moves if is_hot]
-    parts = sizes.withColumn("part", part_of(F.col("block").isin(sorted(set(hot))) if hot else F.lit(False)))
-    # The plan has at most blocks + 8 * shards * SUB rows, whatever the corpus.
-    joined = parts.join(F.broadcast(table), "part")
-    within = Window.partitionBy("part").orderBy("doc_id", "text_crc32", "size")
+    moves, hot = plan(sizes, shards, old)
+    # The plan has at most blocks + (FINE + 8) * shards rows, whatever the corpus.
+    joined = in_parts(sizes, hot).join(F.broadcast(docs.sparkSession.createDataFrame(moves, PLAN)), ["block", "sub"])
+    within = Window.partitionBy("block", "sub").orderBy("doc_id", "text_crc32", "size")
     return joined.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first") + F.row_number().over(within) - 1).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"), "old_shard",
@@ -161,19 +164,17 @@ def reshard(docs: DataFrame, shards: int = 40, old: int = 32, blocks: int = 8192
 
 def rewrite(docs: DataFrame, path: str, shards: int = 40, old: int = 32, blocks: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
     """Write the shards that gain or lose blocks below ``path`` as shard=N folders and return their numbers; the other
-    old shards' files hold good as they are."""
+    old shards' files hold good as they are. A column named shard gives way to the new one."""
     sizes = saved(sized(docs, id_col, text_col, blocks), "sizes")
-    moves = plan(sizes, shards, old, blocks)
-    touched = sorted({j for _, i, j, _, _ in moves if i != j} | {i for _, i, j, _, _ in moves if i != j and i < shards})
+    moves, hot = plan(sizes, shards, old)
+    touched = sorted({j for _, _, i, j, _ in moves if i != j} | {i for _, _, i, j, _ in moves if i != j and i < shards})
     if not touched:
         return []
-    table = docs.sparkSession.createDataFrame(moves, "part int, old_shard int, shard int, first long, hot boolean")
-    hot = sorted({p // SUB for p, _, _, _, is_hot in moves if is_hot})
+    block, sub = fresh(docs.columns, "_block", "_sub")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    block = F.pmod(F.xxhash64(text), F.lit(blocks)).cast("int")
-    sub = F.pmod(F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)), F.lit(SUB)).cast("int")
-    parted = docs.withColumns({"block": block, "sub": sub}).withColumn("part", part_of(F.col("block").isin(hot) if hot else F.lit(False)))
-    placed = parted.join(F.broadcast(table.where(F.col("shard").isin(touched)).select("part", "shard")), "part").drop("part", "block", "sub")
+    parted = docs.withColumns({block: F.pmod(F.xxhash64(text), F.lit(blocks)).cast("int"), sub: F.pmod(F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)), F.lit(SUBS)).cast("int")})
+    table = docs.sparkSession.createDataFrame(moves, PLAN).where(F.col("shard").isin(touched)).select(F.col("block").alias(block), F.col("sub").alias(sub), "shard")
+    placed = in_parts(parted.drop("shard"), hot, block, sub).join(F.broadcast(table), [block, sub]).drop(block, sub)
     placed.write.mode("overwrite").partitionBy("shard").parquet(path)
     return touched
 
