@@ -12,7 +12,8 @@ runs, and then every line is anti-joined with the merged runs: it goes if its ke
 taken by its complement: the hot keys are joined to the lines, and a document learns which keys it loses.
 
 Null and empty texts are one empty line. A null id counts as one document below all others. Rows that
-repeat an id count as one document and each gets its own result row. Other columns are kept.
+repeat an id count as one document and each gets its own result row. Other columns are kept, but for
+those named n_lines and n_dropped, which the result replaces.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, scratch
+from .common import fresh, saved, scratch
 
 WHITE = "\x20\t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -104,16 +105,17 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, mi
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, batches: int = 4) -> DataFrame:
     """All rows and columns with the text's lines thinned, and with n_lines and n_dropped."""
-    lost = dropped_keys(docs, id_col, text_col, min_chars, min_docs, batches).select(F.col("doc").alias("_doc"), F.col("lost").alias("_lost"))
-    rows = docs.withColumn("_of", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+    of, doc, gone, kept = fresh(docs.columns, "of", "doc", "lost", "kept")
+    lost = dropped_keys(docs, id_col, text_col, min_chars, min_docs, batches).select(F.col("doc").alias(doc), F.col("lost").alias(gone))
+    rows = docs.withColumn(of, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
     text, lines = F.coalesce(F.col(text_col), F.lit("")), lines_of(F.col(text_col))
-    stays = F.filter(lines, lambda x: ~((F.char_length(key_of(x)) >= min_chars) & F.array_contains("_lost", hashes(key_of(x))[0])))
-    joined = rows.join(lost, rows["_of"] == lost["_doc"], "left").withColumn("_kept", F.when(F.col("_lost").isNotNull(), stays))
+    stays = F.filter(lines, lambda x: ~((F.char_length(key_of(x)) >= min_chars) & F.array_contains(gone, hashes(key_of(x))[0])))
+    joined = rows.join(lost, rows[of] == lost[doc], "left").withColumn(kept, F.when(F.col(gone).isNotNull(), stays))
     n_lines = (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
     others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     return joined.select(
-        *others, F.when(F.col("_lost").isNull(), text).otherwise(F.array_join("_kept", "\n")).alias(text_col),
-        n_lines.alias("n_lines"), F.when(F.col("_lost").isNull(), F.lit(0)).otherwise(n_lines - F.size("_kept")).cast("long").alias("n_dropped"),
+        *others, F.when(F.col(gone).isNull(), text).otherwise(F.array_join(kept, "\n")).alias(text_col),
+        n_lines.alias("n_lines"), F.when(F.col(gone).isNull(), F.lit(0)).otherwise(n_lines - F.size(kept)).cast("long").alias("n_dropped"),
     )
 
 
