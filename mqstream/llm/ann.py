@@ -1,10 +1,9 @@
 """Approximate nearest neighbours by additive quantisation.
 
 A vector is coded as the sum of one codeword from each of LEVELS codebooks of full dimension. The codebooks
-are fitted level by level on the residuals of a bounded sample (FIT_ROWS vectors chosen by hash) and then
-refitted together by least squares; codes are found by beam search of width BEAM. Each code's squared norm is
-stored, so that lookup tables of query-by-codeword products score inner products directly and Euclidean
-distances with the norm. All codes are scored for every query, a block of queries against a block of codes at
+are fitted level by level on the residuals of a bounded sample (about FIT_ROWS vectors chosen by hash); codes
+are found by beam search of width BEAM. Each code's squared norm is stored, so that lookup tables of
+query-by-codeword products score inner products directly and Euclidean distances with the norm. All codes are scored for every query, a block of queries against a block of codes at
 a time, each pair of blocks keeping the best ``shortlist`` candidates for each query; blocks come to the
 tasks as packed rows. The shortlists are merged and reranked by exact products in double precision.
 
@@ -24,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import batch_of, saved, small_batches
 
-LEVELS, WORDS, BEAM, FIT_ROWS = 8, 256, 4, 8192
-QUERY_BLOCK, CODE_BLOCK, SHORTLIST = 256, 16384, 160
+LEVELS, WORDS, BEAM, FIT_ROWS = 24, 256, 4, 16384
+QUERY_BLOCK, CODE_BLOCK, SHORTLIST = 256, 16384, 320
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -41,7 +40,7 @@ def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
     return c
 
 
-def fit(sample: np.ndarray, levels: int = LEVELS, words: int = WORDS, beam: int = BEAM, seed: int = 3) -> np.ndarray:
+def fit(sample: np.ndarray, levels: int = LEVELS, words: int = WORDS, seed: int = 3) -> np.ndarray:
     """Codebooks [levels, words, dimension]."""
     rng = np.random.default_rng(seed)
     words = min(words, len(sample))
@@ -50,18 +49,6 @@ def fit(sample: np.ndarray, levels: int = LEVELS, words: int = WORDS, beam: int
     for m in range(levels):
         books[m, : min(words, len(rest))] = kmeans(rest, words, rng)
         rest = rest - books[m][(rest @ books[m].T - 0.5 * (books[m] ** 2).sum(1)).argmax(1)]
-    if len(sample) > 4 * words:
-        # All codebooks at once: the normal equations of the codes' indicators, with a small ridge.
-        codes = encode(sample, books, beam) + np.arange(levels) * words
-        a = np.zeros((levels * words, levels * words))
-        b = np.zeros((levels * words, sample.shape[1]))
-        for i in range(levels):
-            np.add.at(b, codes[:, i], sample)
-            for j in range(levels):
-                np.add.at(a, (codes[:, i], codes[:, j]), 1.0)
-        a[np.diag_indices_from(a)] += 1.0
-        b += books.reshape(-1, sample.shape[1])
-        books = np.linalg.solve(a, b).reshape(books.shape).astype(np.float32)
     return books
 
 
