@@ -9,7 +9,7 @@ document. With f(j) the least cost of packing up to cut j,
 is a sliding-window minimum of f(i) + pos(i): a monotone queue keeps it in constant time per cut. A
 window whose length is a power of two needs no padding, which adds at most log2(width)+1 further
 transitions per cut. Cuts are ends of documents and of sentences; where two of them are further apart
-than ``hard_gap`` tokens, plain token positions join the candidates at a higher penalty.
+than ``hard_gap`` tokens, every HARD_STEP-th token position between them joins them at a higher penalty.
 
 Work goes in blocks of ``block`` windows, and the last open window of a block starts the next one, so a
 task holds one block however long a document is. No shuffle: sequence ids carry the partition number, and
@@ -19,10 +19,12 @@ as often as they occur.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from .common import batch_of, small_batches, texts_of
 
 WIDTH, BLOCK = 2048, 64
 #: In tokens of padding: what a cut within a document costs, after a sentence and elsewhere.
-SENTENCE_PENALTY, HARD_PENALTY = 1.0, 12.0
+SENTENCE_PENALTY, HARD_PENALTY, HARD_STEP = 1.0, 12.0, 16
 PARTITION_BITS = 40
 
 
@@ -59,15 +61,21 @@ class Encoder:
 
     def word(self, w: bytes) -> bytes:
         """Ids of a word in lower case: a run of letters goes to the model, punctuation behind one is a word of its own."""
-        if not w.isalpha():
+        if w.isalpha():  # ASCII letters show as themselves
+            shown = w.decode()
+        else:
             core = w.rstrip(b".,!?%*$#&|:;)")
             if core and core != w and (core.isalnum() or core.decode()[-1].isalpha()):
                 return self.known(core) + self.known(w[len(core) :])
             text = w.decode()
             if not (text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)):
-                return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        shown = w.decode("latin-1").translate(self.as_shown)
-        return np.asarray([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+                return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            shown = w.decode("latin-1").translate(self.as_shown)
+        return self.packed([t.id for t in self.tokenizer.model.tokenize(shown)])
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def known(self, w: bytes) -> bytes:
         if (ids := self.seen.get(w)) is None:
@@ -79,48 +87,62 @@ class Encoder:
     def __call__(self, raw: bytes) -> np.ndarray:
         if any(m in raw for m in self.marks):  # special tokens keep their case and may split words
             words = raw.split()
-            ids = b"".join(np.asarray(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words)
+            ids = b"".join(self.packed(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids) for w in words)
         else:
             words, seen = raw.lower().split(), self.seen
             if len(seen) >= self.keep:
                 seen.clear()
-            for w in words:
-                if w not in seen:
-                    self.known(w)
-            ids = b"".join(map(seen.__getitem__, words))
+            try:
+                ids = b"".join(map(seen.__getitem__, words))
+            except KeyError:
+                for w in words:
+                    if w not in seen:
+                        self.known(w)
+                ids = b"".join(map(seen.__getitem__, words))
             for w in self.long:  # long words are not worth their room
                 seen.pop(w, None)
             self.long.clear()
         return np.concatenate([np.frombuffer(ids, "<u4"), self.end])
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker: the next task finds the words remembered."""
+    return Encoder(path)
+
+
 def plan_cuts(pos: np.ndarray, penalty: np.ndarray, width: int) -> list[int]:
     """Indices of the cheapest cuts from pos[0] to pos[-1]; pos increases and no gap is above width."""
     n, at, cost = len(pos), pos.tolist(), penalty.tolist()
-    exact: dict[int, list[int]] = {}
+    # For each cut, the earlier cuts at a distance that is a power of two.
+    exact: list[list[int] | None] = [None] * n
     size = 1
     while size <= width:
         found = np.searchsorted(pos, pos - size)
-        hit = np.nonzero((found < n) & (pos[np.minimum(found, n - 1)] == pos - size))[0]
-        for j in hit.tolist():
-            exact.setdefault(j, []).append(int(found[j]))
+        hit = np.flatnonzero(pos[np.minimum(found, n - 1)] == pos - size)
+        for j, k in zip(hit.tolist(), found[hit].tolist(), strict=True):
+            if exact[j] is None:
+                exact[j] = [k]
+            else:
+                exact[j].append(k)
         size *= 2
-    f, back, queue = [0.0] * n, [0] * n, deque([0])
-    key = [0.0] * n
+    # key = f + pos of the queued cuts, which rises along the queue.
+    f, back, key = [0.0] * n, [0] * n, [0.0] * n
     key[0] = float(at[0])
+    queue, head = [0], 0
     for j in range(1, n):
-        low = at[j] - width
-        while at[queue[0]] < low:
-            queue.popleft()
-        i = queue[0]
-        best = key[i] + width - at[j]
-        for k in exact.get(j, ()):
-            if f[k] <= best:
-                best, i = f[k], k
-        f[j] = best = best + cost[j]
-        back[j] = i
-        key[j] = k = best + at[j]
-        while queue and key[queue[-1]] >= k:
+        p = at[j]
+        while at[queue[head]] < p - width:
+            head += 1
+        i = queue[head]
+        best = key[i] + width - p
+        if (steps := exact[j]) is not None:
+            for k in steps:
+                if f[k] <= best:
+                    best, i = f[k], k
+        best += cost[j]
+        f[j], back[j], key[j] = best, i, best + p
+        while len(queue) > head and key[queue[-1]] >= best + p:
             queue.pop()
         queue.append(j)
     cuts = [n - 1]
@@ -148,7 +170,7 @@ class Packer:
         while self.held:
             yield from self.cut(last=self.held < self.width * (self.block + 1))
 
-    def candidates(self, total: int) -> tuple[np.ndarray, np.ndarray]:
+    def candidates(self, total: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
         penalty = np.full(total + 1, np.inf)
         done = 0
         for _, ids, start, _ in self.docs:
@@ -163,13 +185,16 @@ class Packer:
         kept = np.nonzero(np.isfinite(penalty))[0]
         for a, b in zip(kept[:-1].tolist(), kept[1:].tolist(), strict=True):
             if b - a > self.gap:
-                penalty[a + self.gap : b : self.gap] = HARD_PENALTY
+                penalty[a + HARD_STEP : b : HARD_STEP] = HARD_PENALTY
+        if last:  # the remainder may be cut anywhere, into powers of two
+            rest = penalty[max(1, total - self.width) : total]
+            np.minimum(rest, HARD_PENALTY, out=rest)
         pos = np.nonzero(np.isfinite(penalty))[0]
         return pos, penalty[pos]
 
     def cut(self, last: bool) -> Iterator[tuple]:
         total = self.held if last else self.width * (self.block + 1)
-        pos, penalty = self.candidates(total)
+        pos, penalty = self.candidates(total, last)
         cuts = pos[plan_cuts(pos, penalty, self.width)].tolist()
         if not last and len(cuts) > 2:
             cuts.pop()  # the window at the block's edge is planned again with what follows
@@ -202,7 +227,7 @@ def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, block: int = BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        packer = Packer(Encoder(tokenizer), width, block, (context.partitionId() if context else 0) << PARTITION_BITS)
+        packer = Packer(encoder(tokenizer), width, block, (context.partitionId() if context else 0) << PARTITION_BITS)
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*found, strict=True))[: len(names)]
