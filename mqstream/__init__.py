@@ -1 +1,14 @@
 """A message-queue engine on Spark."""
+
+__version__ = "0.1.0"
+
+
+def build_info() -> dict[str, str]:
+    """Version, Spark and Python of this build; "unknown" where it cannot be told."""
+    import platform
+
+    try:
+        from pyspark import __version__ as spark
+    except ImportError:
+        spark = "unknown"
+    return {"version": __version__, "spark": spark, "python": platform.python_version()}

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -93,15 +94,21 @@ def greedy(size_col: str, max_bytes: int, max_rows: int = UNLIMITED, name: str =
 
 
 def in_order(df: DataFrame, order: str, queue: str | None = None) -> DataFrame:
-    """``at``: the 0-based arrival position, within each queue if one is named. Without a queue the positions come from
-    per-partition counts of a range partitioning, so no task holds all messages."""
+    """``at``: the 0-based arrival position, within each queue if one is named. Without a queue the rows are range-partitioned
+    and positions come from the partitions' counts, so no task holds all messages. Counts and positions must see one and the
+    same partitioning, so the partitioned rows are persisted (on disk where memory is short)."""
     if queue:
         return df.withColumn("at", (F.row_number().over(Window.partitionBy(queue).orderBy(order)) - 1).cast("bigint"))
-    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id()).withColumn("_n", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = ranged.groupBy("_part").count()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, F.col(order)).sortWithinPartitions(order)
+    # A generated id is the partition's number above 33 bits of the row's place in it.
+    ranged = ranged.withColumn("_id", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    starts = counts.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    return ranged.join(F.broadcast(starts), "_part").withColumn("at", F.col("_start") + F.col("_n")).drop("_part", "_n", "_start")
+    starts = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    placed = ranged.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return placed.withColumn("at", F.col("_start") + place).drop("_part", "_id", "_start")
 
 
 def batches_by_count(df: DataFrame, order: str, max_rows: int, queue: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NAMES = ("lastGatherMessageCount", "lastGatherPayloadBytes", "lastGatherNewestMessageAgeMs", "outstandingPayloadBytes", "lastProducedBatchId", "lastConsumedBatchId", "pubsubRetryAttempts", "pubsubRetryAttemptsTotal")
+NAMES = ("lastGatherMessageCount", "lastGatherPayloadBytes", "lastGatherNewestMessageAgeMs", "outstandingPayloadBytes", "lastProducedBatchId", "lastConsumedBatchId", "retryAttempts", "retryAttemptsTotal")
 
 
 def publish_window(messages: DataFrame, by: str = "batch") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.temporal import asof_join, interval_join, sessions
@@ -13,7 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-K = F.get_json_object("props", "$.k").cast("long")
+def k_of() -> Column:
+    return F.get_json_object("props", "$.k").cast("long")
+
+
 SQL_K = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
 
@@ -40,7 +43,7 @@ def deduplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("distinct_counts", f"SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT {SQL_K}) AS ks FROM events GROUP BY event_type")
 def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).withColumn("k", K).groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.count_distinct("k").alias("ks"))
+    return events(spark, sf_dir).withColumn("k", k_of()).groupBy("event_type").agg(F.count_distinct("user_id").alias("users"), F.count_distinct("k").alias("ks"))
 
 
 @query("interval_join", "SELECT p.event_id AS purchase, c.event_id AS click FROM events p JOIN events c ON p.user_id = c.user_id AND p.event_type = 'purchase' AND c.event_type = 'click' AND c.ts >= p.ts - INTERVAL 2 HOUR AND c.ts <= p.ts")
@@ -72,14 +75,14 @@ def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ranking", "SELECT event_id, row_number() OVER w AS n, rank() OVER w AS r, dense_rank() OVER w AS d FROM (SELECT event_id, user_id, " + SQL_K + " AS k FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY k, event_id)")
 def ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("k", "event_id")
-    rows = events(spark, sf_dir).withColumn("k", K)
+    rows = events(spark, sf_dir).withColumn("k", k_of())
     return rows.select("event_id", F.row_number().over(w).cast("long").alias("n"), F.rank().over(w).cast("long").alias("r"), F.dense_rank().over(w).cast("long").alias("d"))
 
 
 @query("running_totals", "SELECT event_id, sum(k) OVER w AS total, lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM (SELECT event_id, user_id, " + SQL_K + " AS k FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)")
 def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("event_id")
-    return events(spark, sf_dir).withColumn("k", K).select("event_id", F.sum("k").over(w.rowsBetween(-4, 0)).alias("total"), F.lag("event_id").over(w).alias("before"))
+    return events(spark, sf_dir).withColumn("k", k_of()).select("event_id", F.sum("k").over(w.rowsBetween(-4, 0)).alias("total"), F.lag("event_id").over(w).alias("before"))
 
 
 @query("top_k", "SELECT event_type, event_id FROM (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS n FROM events) WHERE n <= 5")

@@ -92,69 +92,70 @@ def fields(df: DataFrame, schema: str) -> DataFrame:
     return df.select("event_id", *(payload_field(F.col("body"), f.name, f.dataType).alias(f.name) for f in wanted.fields))
 
 
-ID = F.col("event_id")
+def event_id() -> Column:
+    return F.col("event_id")
 
 
 @query("decode_scalars", """SELECT event_id, 'u' || user_id AS s, event_id % 2 = 0 AS b, CAST(event_id AS INT) AS i, event_id * 1000000007 AS l, CAST(event_id + 0.5 AS FLOAT) AS f, event_id + 0.25::DOUBLE AS d FROM events""")
 def decode_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"s":"u', F.col("user_id"), '","b":', F.when(ID % 2 == 0, "true").otherwise("false"), ',"i":', ID, ',"l":', ID * 1000000007, ',"f":', ID, '.5,"d":', ID, ".25}")
+    rows = written(spark, sf_dir, '{"s":"u', F.col("user_id"), '","b":', F.when(event_id() % 2 == 0, "true").otherwise("false"), ',"i":', event_id(), ',"l":', event_id() * 1000000007, ',"f":', event_id(), '.5,"d":', event_id(), ".25}")
     return fields(rows, "s string, b boolean, i int, l long, f float, d double")
 
 
 @query("decode_timestamp", """SELECT event_id, make_timestamp((1600000000 + event_id) * 1000000) AS seconds, make_timestamp((1600000000000 + event_id) * 1000) AS millis, make_timestamp((1705314600 + event_id % 20) * 1000000) AS iso FROM events""")
 def decode_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"seconds":', ID + 1600000000, ',"millis":', ID + 1600000000000, ',"iso":"2024-01-15T10:30:', F.lpad((ID % 20).cast("string"), 2, "0"), 'Z"}')
+    rows = written(spark, sf_dir, '{"seconds":', event_id() + 1600000000, ',"millis":', event_id() + 1600000000000, ',"iso":"2024-01-15T10:30:', F.lpad((event_id() % 20).cast("string"), 2, "0"), 'Z"}')
     return plain(fields(rows, "seconds timestamp, millis timestamp, iso timestamp"))
 
 
 @query("decode_decimal", """SELECT event_id, CAST(event_id + 0.146 AS DECIMAL(10,2))::VARCHAR AS number, '0.00' AS quoted FROM events""")
 def decode_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"number":', ID, '.146,"quoted":"3.5"}')
+    rows = written(spark, sf_dir, '{"number":', event_id(), '.146,"quoted":"3.5"}')
     return fields(rows, "number decimal(10,2), quoted decimal(10,2)").select("event_id", F.col("number").cast("string"), F.col("quoted").cast("string"))
 
 
 @query("decode_nested", """SELECT event_id, 'n' || event_id AS id, CAST(user_id AS INT) AS inner_user, CAST(NULL AS VARCHAR) AS absent FROM events""")
 def decode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"Nested":{"id":"n', ID, '","more":{"USER":', F.col("user_id"), "}}}")
+    rows = written(spark, sf_dir, '{"Nested":{"id":"n', event_id(), '","more":{"USER":', F.col("user_id"), "}}}")
     found = fields(rows, "nested struct<id:string,more:struct<user:int>,absent:string>")
     return found.select("event_id", F.col("nested.id").alias("id"), F.col("nested.more.user").alias("inner_user"), F.col("nested.absent").alias("absent"))
 
 
 @query("decode_array_wrap", """SELECT event_id, 'a,t' || event_id AS tags, CAST(event_id AS VARCHAR) AS one FROM events""")
 def decode_array_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"tags":["a","t', ID, '"],"one":', ID, "}")
+    rows = written(spark, sf_dir, '{"tags":["a","t', event_id(), '"],"one":', event_id(), "}")
     found = fields(rows, "tags array<string>, one array<int>")
     return found.select("event_id", F.array_join("tags", ",").alias("tags"), F.array_join(F.transform("one", lambda x: x.cast("string")), ",").alias("one"))
 
 
 @query("decode_map", """SELECT event_id, 'a=' || event_id || ',b=7' AS stats, '' AS scalar FROM events""")
 def decode_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"stats":{"b":7,"a":', ID, '},"scalar":3}')
+    rows = written(spark, sf_dir, '{"stats":{"b":7,"a":', event_id(), '},"scalar":3}')
     return plain(fields(rows, "stats map<string,int>, scalar map<string,int>"))
 
 
 @query("decode_uncoercible_defaults", """SELECT event_id, 0 AS word, CAST(event_id AS INT) AS fraction, CAST(event_id AS INT) AS quoted, CAST(event_id AS BIGINT) AS quoted_long, false AS yes, true AS quoted_true, event_id % 3 <> 0 AS number, 0.0::DOUBLE AS letters, 1 AS flag, -1294967296 AS wrapped, 0 AS container FROM events""")
 def decode_uncoercible_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"word":"abc","fraction":', ID, '.9,"quoted":"', ID, '","quoted_long":"', ID, '.7","yes":"yes","quoted_true":"true","number":', ID % 3, ',"letters":"x","flag":true,"wrapped":3000000000,"container":{"a":1}}')
+    rows = written(spark, sf_dir, '{"word":"abc","fraction":', event_id(), '.9,"quoted":"', event_id(), '","quoted_long":"', event_id(), '.7","yes":"yes","quoted_true":"true","number":', event_id() % 3, ',"letters":"x","flag":true,"wrapped":3000000000,"container":{"a":1}}')
     return fields(rows, "word int, fraction int, quoted int, quoted_long long, yes boolean, quoted_true boolean, number boolean, letters double, flag int, wrapped int, container int")
 
 
 @query("decode_case_insensitive", """SELECT event_id, 'u' || user_id AS deviceid, CAST(event_id AS INT) AS exact FROM events""")
 def decode_case_insensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"DeviceId":"u', F.col("user_id"), '","EXACT":-1,"exact":', ID, "}")
+    rows = written(spark, sf_dir, '{"DeviceId":"u', F.col("user_id"), '","EXACT":-1,"exact":', event_id(), "}")
     return fields(rows, "deviceid string, exact int")
 
 
 @query("decode_text", """SELECT event_id, CAST(event_id AS VARCHAR) AS whole, event_id || '.5' AS fraction, 'true' AS flag, '{"b":1,"a":' || event_id || '}' AS object, '[1,"x"]' AS list, 'raw' || event_id AS bytes FROM events""")
 def decode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(spark, sf_dir, '{"whole":', ID, ',"fraction":', ID, '.50,"flag":true,"object":{"b":1,"a":', ID, '},"list":[1,"x"],"bytes":"raw', ID, '"}')
+    rows = written(spark, sf_dir, '{"whole":', event_id(), ',"fraction":', event_id(), '.50,"flag":true,"object":{"b":1,"a":', event_id(), '},"list":[1,"x"],"bytes":"raw', event_id(), '"}')
     return plain(fields(rows, "whole string, fraction string, flag string, object string, list string, bytes binary"))
 
 
 @query("decode_missing", """SELECT event_id, CAST(NULL AS INT) AS absent, CAST(NULL AS INT) AS nothing, CASE WHEN event_id % 2 = 0 THEN 'x' END AS sometimes FROM events""")
 def decode_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Absent and null fields, empty bodies and bodies that are no object."""
-    rows = written(spark, sf_dir, F.when(ID % 2 == 0, '{"nothing":null,"sometimes":"x"}').when(ID % 3 == 0, "").when(ID % 5 == 0, "[1,2]").otherwise("7"))
+    rows = written(spark, sf_dir, F.when(event_id() % 2 == 0, '{"nothing":null,"sometimes":"x"}').when(event_id() % 3 == 0, "").when(event_id() % 5 == 0, "[1,2]").otherwise("7"))
     return fields(rows, "absent int, nothing int, sometimes string")
 
 
@@ -195,7 +196,7 @@ def batch_by_count_and_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("limits_compose", """SELECT a, b, c, CASE WHEN least(nullif(greatest(a, 0), 0), nullif(greatest(b, 0), 0), nullif(greatest(c, 0), 0)) IS NULL THEN 9223372036854775807 ELSE least(nullif(greatest(a, 0), 0), nullif(greatest(b, 0), 0), nullif(greatest(c, 0), 0)) END AS lim FROM (SELECT event_id % 7 - 2 AS a, event_id % 11 - 3 AS b, event_id % 5 - 2 AS c FROM events)""")
 def limits_compose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).select((ID % 7 - 2).alias("a"), (ID % 11 - 3).alias("b"), (ID % 5 - 2).alias("c"))
+    rows = events(spark, sf_dir).select((event_id() % 7 - 2).alias("a"), (event_id() % 11 - 3).alias("b"), (event_id() % 5 - 2).alias("c"))
     return rows.withColumn("lim", admission.least_positive(F.col("a"), F.col("b"), F.col("c")))
 
 
@@ -292,40 +293,38 @@ def tail_reserve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("retryable_errors", """SELECT event_id, regexp_matches(message, '(?i)unavailable|deadline|resource_exhausted|aborted|internal|timeout|temporarily') AS retryable FROM (SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'UNAVAILABLE: gone' WHEN 1 THEN 'Deadline exceeded' WHEN 2 THEN 'not found' WHEN 3 THEN 'RESOURCE_EXHAUSTED' WHEN 4 THEN 'permission denied' ELSE 'read Timeout' END AS message FROM events)""")
 def retryable_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.element_at(F.array(*map(F.lit, ("UNAVAILABLE: gone", "Deadline exceeded", "not found", "RESOURCE_EXHAUSTED", "permission denied", "read Timeout"))), (ID % 6).cast("int") + 1)
+    said = F.element_at(F.array(*map(F.lit, ("UNAVAILABLE: gone", "Deadline exceeded", "not found", "RESOURCE_EXHAUSTED", "permission denied", "read Timeout"))), (event_id() % 6).cast("int") + 1)
     return events(spark, sf_dir).select("event_id", retryable_message(said).alias("retryable"))
 
 
 @query("fatal_errors", """SELECT event_id, status IN ('NOT_FOUND', 'PERMISSION_DENIED', 'UNAUTHENTICATED', 'INVALID_ARGUMENT') AS fatal FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'NOT_FOUND' WHEN 1 THEN 'UNAVAILABLE' WHEN 2 THEN 'UNAUTHENTICATED' ELSE 'ABORTED' END AS status FROM events)""")
 def fatal_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.element_at(F.array(*map(F.lit, ("NOT_FOUND", "UNAVAILABLE", "UNAUTHENTICATED", "ABORTED"))), (ID % 4).cast("int") + 1)
+    status = F.element_at(F.array(*map(F.lit, ("NOT_FOUND", "UNAVAILABLE", "UNAUTHENTICATED", "ABORTED"))), (event_id() % 4).cast("int") + 1)
     return events(spark, sf_dir).select("event_id", fatal_status(status).alias("fatal"))
 
 
-UNIT = F.element_at(F.array(*map(F.lit, ("ms", "s", "m", ""))), (ID % 4).cast("int") + 1)
-
-
 @query("parse_durations", "SELECT event_id, event_id * CASE event_id % 4 WHEN 0 THEN 1 WHEN 2 THEN 60000 ELSE 1000 END AS ms FROM events")
 def parse_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select("event_id", values.duration_ms(F.concat(F.lit(" "), ID.cast("string"), UNIT)).alias("ms"))
+    unit = F.element_at(F.array(*map(F.lit, ("ms", "s", "m", ""))), (event_id() % 4).cast("int") + 1)
+    return events(spark, sf_dir).select("event_id", values.duration_ms(F.concat(F.lit(" "), event_id().cast("string"), unit)).alias("ms"))
 
 
 @query("parse_sizes", "SELECT event_id, event_id * CASE event_id % 4 WHEN 0 THEN 1024 WHEN 1 THEN 1048576 WHEN 2 THEN 1073741824 ELSE 1 END AS bytes FROM events")
 def parse_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unit = F.element_at(F.array(*map(F.lit, ("k", "M", "g", ""))), (ID % 4).cast("int") + 1)
-    return events(spark, sf_dir).select("event_id", values.size_bytes(F.concat(ID.cast("string"), unit)).alias("bytes"))
+    unit = F.element_at(F.array(*map(F.lit, ("k", "M", "g", ""))), (event_id() % 4).cast("int") + 1)
+    return events(spark, sf_dir).select("event_id", values.size_bytes(F.concat(event_id().cast("string"), unit)).alias("bytes"))
 
 
 @query("parse_instants", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id * 1000 WHEN event_id % 3 = 0 THEN NULL ELSE 1705314600000 + event_id % 20 * 1000 - 3600000 END AS ms FROM events")
 def parse_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = F.concat(F.lit("2024-01-15T10:30:"), F.lpad((ID % 20).cast("string"), 2, "0"))
-    text = F.when(ID % 2 == 0, (ID * 1000).cast("string")).when(ID % 3 == 0, dated).otherwise(F.concat(dated, F.lit("+01:00")))
+    dated = F.concat(F.lit("2024-01-15T10:30:"), F.lpad((event_id() % 20).cast("string"), 2, "0"))
+    text = F.when(event_id() % 2 == 0, (event_id() * 1000).cast("string")).when(event_id() % 3 == 0, dated).otherwise(F.concat(dated, F.lit("+01:00")))
     return events(spark, sf_dir).select("event_id", values.instant_ms(text).alias("ms"))
 
 
 @query("resource_paths", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'projects/p/subscriptions/s' || event_id ELSE 'projects/q/subscriptions/s' || event_id END AS path FROM events")
 def resource_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(F.when(ID % 2 == 0, "s").otherwise("projects/q/subscriptions/s"), ID.cast("string"))
+    name = F.concat(F.when(event_id() % 2 == 0, "s").otherwise("projects/q/subscriptions/s"), event_id().cast("string"))
     return events(spark, sf_dir).select("event_id", values.resource_path(F.lit("p"), "subscriptions", name).alias("path"))
 
 

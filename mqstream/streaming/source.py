@@ -7,6 +7,7 @@ offset is asked for, and all state that must outlive it is in the queue's file.
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Iterator
 from datetime import UTC, datetime
@@ -17,14 +18,17 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from ..operators.admission import Limits, ReadLimit, min_positive
 from ..operators.envelope import metadata_view, of_schema, table_view
+from ..operators.metrics import as_strings
 from ..sources.options import Options
 from ..sources.schema import RAW, envelope_name, registered_schema, table_schema
 from . import memory
 from .broker import Broker, Message
-from .gather import Gather
-from .pacing import ReceiveTuner
+from .errors import RetryPolicy
+from .gather import Gather, Gathered
+from .pacing import IntakePace, ReceiveTuner
 
 FORMAT = "mq"
+LOG = logging.getLogger(__name__)
 
 
 class Slice(InputPartition):
@@ -78,6 +82,8 @@ class StreamReader(DataSourceStreamReader):
             self.produced, self.consumed, self.over = self.broker.next_batch(o.subscription) - 1, None, False
             self.first = self.produced
             self.open_batch = False
+            self.retry, self.pace, self.retried = RetryPolicy(o.max_retry_ms, warn=LOG.warning), IntakePace(), 0
+            LOG.info(o.summary())
         return self.broker
 
     def _poll(self, wait_ms: int, count: int) -> list[Message]:
@@ -113,9 +119,20 @@ class StreamReader(DataSourceStreamReader):
         self.budget = self.budget.after(memory.Reading(used, memory.available(), out.size))
         self.over = out.limit_reached
         if out.messages:
-            self.produced, self.open_batch = broker.produce(o.subscription, out.messages), True
+            self.produced, self.open_batch = self.retry.run(lambda: broker.produce(o.subscription, out.messages)), True
+            self._tell(out)
         return {"batchId": self.produced}
 
+    def _tell(self, out: Gathered) -> None:
+        """Note the batch's metrics, and warn when intake falls behind."""
+        now, o = self.broker.clock_ms(), self.options
+        age = max(0, now - max(m.publish_ms for m in out.messages))
+        values = as_strings(len(out.messages), out.size, age, self.broker.outstanding_bytes(o.subscription), self.produced, self.consumed, self.retry.attempts - self.retried, self.retry.attempts)
+        self.retried = self.retry.attempts
+        self.broker.note(o.subscription, self.produced, values)
+        if warning := self.pace.observe(now, age, self.tuner.budget // 1_000_000):
+            LOG.warning(warning)
+
     def partitions(self, start: dict, end: dict) -> list[Slice]:
         broker = self._open()
         broker.resume(self.options.subscription, int(end["batchId"]))
@@ -127,7 +144,8 @@ class StreamReader(DataSourceStreamReader):
 
     def commit(self, end: dict) -> None:
         if self.options.ack_mode == "afterCommit":
-            self._open().settle(self.options.subscription, int(end["batchId"]))
+            broker = self._open()
+            self.retry.run(lambda: broker.settle(self.options.subscription, int(end["batchId"])))
         self.tuner.committed()
 
     def stop(self) -> None:
@@ -195,6 +213,8 @@ def viewed(raw: DataFrame, options: Options, schema: T.StructType | None) -> Dat
 def read_stream(spark: SparkSession, options: dict[str, str], schema: T.StructType | None = None) -> DataFrame:
     """The queue as a streaming table of the options' schema mode, or of a schema given."""
     register(spark)
+    if Options.of(options).emulator_host:
+        LOG.warning("emulatorHost is ignored: the queue is a local file")
     return viewed(spark.readStream.format(FORMAT).options(**options).load(), Options.of(options), schema)
 
 
@@ -202,3 +222,13 @@ def read_batch(spark: SparkSession, options: dict[str, str], schema: T.StructTyp
     """What is in the queue now, as a table."""
     register(spark)
     return viewed(spark.read.format(FORMAT).options(**options).load(), Options.of(options), schema)
+
+
+def read_metrics(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """(batch, name, value) of the batches made so far."""
+    o = Options.of(options)
+    broker = Broker(o.queue)
+    try:
+        return spark.createDataFrame(broker.noted(o.subscription), "batch long, name string, value string")
+    finally:
+        broker.close()
