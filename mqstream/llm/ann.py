@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, saved, small_batches
+from .common import batch_of, settled, small_batches
 
 LEVELS, WORDS, BEAM, FIT_ROWS = 24, 256, 4, 16384
 QUERY_BLOCK, CODE_BLOCK, SHORTLIST = 256, 16384, 320
@@ -176,12 +176,12 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, shortlist: int = SH
     is the inner product, or minus the Euclidean distance."""
     spark = vectors.sparkSession
     small_batches(spark)
-    rows = saved(usable(vectors, id_col, vector_col), "vectors")
-    reps = saved(rows.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("held")).select("rep", "v", "held"), "distinct")
+    rows = settled(usable(vectors, id_col, vector_col), "vectors")
+    reps = settled(rows.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("held")).select("rep", "v", "held"), "distinct")
     copies = reps.where("held > 1").select(F.col("v").alias("_v"), F.col("rep").alias("_rep"))
     first = Window.partitionBy("rep").orderBy("vec_id")
-    members = rows.join(saved(copies, "copies"), F.col("v") == F.col("_v"), "left").select(F.coalesce("_rep", "vec_id").alias("rep"), "vec_id")
-    members = saved(members.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select("rep", "vec_id"), "members")
+    members = rows.join(copies, F.col("v") == F.col("_v"), "left").select(F.coalesce("_rep", "vec_id").alias("rep"), "vec_id")
+    members = settled(members.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select("rep", "vec_id"), "members")
     total = reps.count()
     share = min(1.0, FIT_ROWS / max(1, total))
     sample = reps.where(F.pmod(F.xxhash64(F.lit(9), "rep"), F.lit(1 << 20)) < int(share * (1 << 20))).select("rep", "v").orderBy("rep").toArrow()  # about FIT_ROWS rows
@@ -189,7 +189,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, shortlist: int = SH
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     books = fit(matrix(sample["v"].combine_chunks()))
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query"), "v")
-    lists = saved(shortlists(reps.select("rep", "v"), asked, books, shortlist + 1, measure), "shortlists")
+    lists = settled(shortlists(reps.select("rep", "v"), asked, books, shortlist + 1, measure), "shortlists")
     pairs = lists.select("query", F.explode("candidates").alias("rep"))
     joined = pairs.join(reps.select("rep", F.col("v").alias("c")), "rep").join(asked.withColumnRenamed("v", "q"), "query")
     term = (lambda a, b: a.cast("double") * b.cast("double")) if measure == "inner" else (lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))

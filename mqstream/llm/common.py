@@ -6,10 +6,14 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch: texts run to hundreds of kilobytes, so batches stay small.
 ARROW_ROWS, ARROW_BYTES = 256, 8 << 20
+ROWS_PER_FILE = 500_000
+BROADCAST_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,14 +35,38 @@ def scratch(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
+def saved(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors. Where the number of
+    rows is known to be at most ``rows``, it is written as files of ROWS_PER_FILE rather than one for each task."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """A table that several steps read: computed once and held on the executors' disks. What is lost with an executor is
+    computed again."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """Computed once, counted, and written in files whose number follows from the count, not from the tasks that made it: the
+    tables here are narrow, and many small files cost more than the step itself."""
+    held = kept(df)
+    out = saved(held, label, held.count())
+    held.unpersist()
+    return out
+
+
+def small(df: DataFrame, row_bytes: int = 16) -> DataFrame:
+    """df, marked for a join with large rows: broadcast if it is counted to be within BROADCAST_BYTES, otherwise the side that
+    a shuffled hash join builds on, so that the large rows are never sorted."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df.hint("shuffle_hash")
+
+
 def batch_of(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType
 
-from .common import batch_of, saved, small_batches, texts_of
+from .common import batch_of, settled, small_batches, texts_of
 from .ngrams import SIZE, STEP, trigrams
 
 LANGUAGES = ("en", "fr", "de", "es")
@@ -158,12 +158,12 @@ def declarations(seen: DataFrame, languages: tuple[str, ...]) -> tuple[dict[str,
 def host_priors(seen: DataFrame, whole: list[float]) -> DataFrame:
     """(of_host, held, prior): a host's soft counts, and what its suffix, smoothed towards the whole, leads to expect."""
     size = len(whole)
-    hosts = saved(seen.groupBy("host").agg(*(F.sum(F.col("says")[k]).alias(f"n{k}") for k in range(size))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
+    hosts = settled(seen.groupBy("host").agg(*(F.sum(F.col("says")[k]).alias(f"n{k}") for k in range(size))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
     by_suffix = hosts.groupBy("suffix").agg(*(F.sum(f"n{k}").alias(f"s{k}") for k in range(size)))
     total = sum((F.col(f"s{k}") for k in range(1, size)), F.col("s0")) + SUFFIX_WEIGHT
     prior = F.array(*((F.col(f"s{k}") + SUFFIX_WEIGHT * whole[k]) / total for k in range(size)))
-    smoothed = saved(by_suffix.select("suffix", prior.alias("prior")), "suffixes")
-    return saved(hosts.join(smoothed, "suffix").select(F.col("host").alias("of_host"), F.array(*(F.col(f"n{k}") for k in range(size))).alias("held"), "prior"), "host-priors")
+    smoothed = settled(by_suffix.select("suffix", prior.alias("prior")), "suffixes")
+    return settled(hosts.join(smoothed, "suffix").select(F.col("host").alias("of_host"), F.array(*(F.col(f"n{k}") for k in range(size))).alias("held"), "prior"), "host-priors")
 
 
 def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = LEAST) -> DataFrame:
@@ -172,7 +172,7 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: flo
     classes = [*languages, UND]
     rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
     others = [c for c in rows.columns if c not in ("text", "host")]
-    seen = saved(evidence(rows, train(rows, languages)), "evidence")
+    seen = settled(evidence(rows, train(rows, languages)), "evidence")
     given, whole = declarations(seen, languages)
     hosts = host_priors(seen, whole)
     joined = seen.join(hosts, seen["host"] == hosts["of_host"]).select(*others, "support", "says", "held", "prior")

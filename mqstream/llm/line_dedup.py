@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, saved, scratch
+from .common import ROWS_PER_FILE, fresh, kept, scratch, settled, small
 
 WHITE = "\x20\t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -61,15 +61,15 @@ class LineRuns:
         self.levels: list[list[str]] = [[]]
         self.made = 0
 
-    def _write(self, run: DataFrame, level: int) -> None:
+    def _write(self, run: DataFrame, level: int, rows: int) -> None:
         path, self.made = f"{self.folder}/level{level}-{self.made}", self.made + 1
-        run.sortWithinPartitions(*HASHES).write.parquet(path)
+        run.coalesce(max(1, -(-rows // ROWS_PER_FILE))).sortWithinPartitions(*HASHES).write.parquet(path)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(path)
         if len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(self._merged(full), level + 1)
+            self._write(self._merged(full), level + 1, rows * self.fanout)
 
     def _merged(self, paths: list[str]) -> DataFrame:
         runs = self.spark.read.schema("h1 long, h2 long, n long, last long").parquet(*paths)
@@ -77,7 +77,7 @@ class LineRuns:
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch's run; a document is in one batch only."""
-        self._write(lines.groupBy(*HASHES).agg(F.count("*").alias("n"), F.max("doc").alias("last")), 0)
+        self._write(lines.groupBy(*HASHES).agg(F.count("*").alias("n"), F.max("doc").alias("last")), 0, lines.count())
 
     def all(self) -> DataFrame:
         """The runs of all levels as one: (h1, h2, n, last)."""
@@ -94,13 +94,13 @@ class LineRuns:
 def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int, batches: int) -> DataFrame:
     """(doc, lost): for each document that loses lines, the first hashes of their keys."""
     spark = docs.sparkSession
-    lines = saved(hashed_lines(docs, id_col, text_col, min_chars), "lines")
+    lines = settled(hashed_lines(docs, id_col, text_col, min_chars), "lines")
     runs = LineRuns(spark)
     for k in range(batches):
         runs.add(lines.where(F.pmod(F.xxhash64("doc"), F.lit(batches)) == k))
-    hot = saved(runs.all().where(F.col("n") >= min_docs).select(*HASHES, "last"), "hot-lines")
+    hot = settled(runs.all().where(F.col("n") >= min_docs).select(*HASHES, "last"), "hot-lines")
     lost = lines.join(hot, HASHES).where(F.col("doc") != F.col("last"))
-    return lost.groupBy("doc").agg(F.collect_list("h1").alias("lost"))
+    return kept(lost.groupBy("doc").agg(F.collect_list("h1").alias("lost")))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, batches: int = 4) -> DataFrame:
@@ -110,7 +110,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_c
     rows = docs.withColumn(of, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
     text, lines = F.coalesce(F.col(text_col), F.lit("")), lines_of(F.col(text_col))
     stays = F.filter(lines, lambda x: ~((F.char_length(key_of(x)) >= min_chars) & F.array_contains(gone, hashes(key_of(x))[0])))
-    joined = rows.join(lost, rows[of] == lost[doc], "left").withColumn(kept, F.when(F.col(gone).isNotNull(), stays))
+    joined = rows.join(small(lost, 64), rows[of] == lost[doc], "left").withColumn(kept, F.when(F.col(gone).isNotNull(), stays))
     n_lines = (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
     others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     return joined.select(

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, saved, small_batches, texts_of
+from .common import batch_of, kept, small_batches, texts_of
 from .ngrams import SIZE, STEP, trigrams
 
 FIT_ROWS, EPOCHS, COST = 8000, 12, 0.1
@@ -135,8 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, fit_rows: int = FIT_
             yield batch_of({"doc": (part.tolist(), pa.int64()), "label": (none, pa.int32()), "x": (none, pa.binary()), "ones": (found[1, part].tolist(), pa.int64()), "zeros": (found[0, part].tolist(), pa.int64())})
 
     # The same join at every size: which side is small would otherwise decide what is shuffled.
-    rows = marks.hint("merge").join(texts, "doc").select("doc", "label", "fits", "text")
-    seen = saved(rows.mapInArrow(count, "doc long, label int, x binary, ones long, zeros long"), "quality")
+    rows = texts.join(marks.hint("shuffle_hash"), "doc").select("doc", "label", "fits", "text")
+    seen = kept(rows.mapInArrow(count, "doc long, label int, x binary, ones long, zeros long"))
     # At most WIDTH rows.
     totals = seen.where("label IS NULL").groupBy("doc").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")).toArrow()
     ones, zeros = np.zeros(WIDTH), np.zeros(WIDTH)

@@ -24,7 +24,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, saved
+from .common import fresh, settled
 
 ROW_BYTES, FINE, SUBS = 16, 64, 1 << 20
 PLAN = "block int, sub int, old_shard int, shard int, first long"
@@ -151,7 +151,7 @@ def plan(sizes: DataFrame, shards: int, old: int) -> tuple[list[tuple[int, int,
 
 def reshard(docs: DataFrame, shards: int = 40, old: int = 32, blocks: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, old_shard, shard, slot, grown_shard."""
-    sizes = saved(sized(docs, id_col, text_col, blocks), "sizes")
+    sizes = settled(sized(docs, id_col, text_col, blocks), "sizes")
     moves, hot = plan(sizes, shards, old)
     # The plan has at most blocks + (FINE + 8) * shards rows, whatever the corpus.
     joined = in_parts(sizes, hot).join(F.broadcast(docs.sparkSession.createDataFrame(moves, PLAN)), ["block", "sub"])
@@ -165,7 +165,7 @@ def reshard(docs: DataFrame, shards: int = 40, old: int = 32, blocks: int = 8192
 def rewrite(docs: DataFrame, path: str, shards: int = 40, old: int = 32, blocks: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
     """Write the shards that gain or lose blocks below ``path`` as shard=N folders and return their numbers; the other
     old shards' files hold good as they are. A column named shard gives way to the new one."""
-    sizes = saved(sized(docs, id_col, text_col, blocks), "sizes")
+    sizes = settled(sized(docs, id_col, text_col, blocks), "sizes")
     moves, hot = plan(sizes, shards, old)
     touched = sorted({j for _, _, i, j, _ in moves if i != j} | {i for _, _, i, j, _ in moves if i != j and i < shards})
     if not touched:
