@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mqstream.llm import decontaminate, language_id, line_dedup, near_dedup, packing
-from mqstream.llm.common import saved, table
+from mqstream.llm.common import saved, settled, small, table
 from mqstream.llm.queries import tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the ids; they are written first, so that the join knows their size."""
-    return docs.join(saved(ids.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(COLUMNS)
+    """docs without the ids."""
+    return docs.join(small(settled(ids.select("doc_id").distinct(), "dropped")), "doc_id", "left_anti").select(COLUMNS)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
