@@ -80,7 +80,7 @@ class StreamReader(DataSourceStreamReader):
             self.tuner = ReceiveTuner(o.receive_ms, o.gather_mode, o.processing_ms)
             self.budget = memory.Budget.start(o.batch_size, memory.total())
             self.produced, self.consumed, self.over = self.broker.next_batch(o.subscription) - 1, None, False
-            self.first = self.produced
+            self.first, self.warned_ms = self.produced, None
             self.open_batch = False
             self.retry, self.pace, self.retried = RetryPolicy(o.max_retry_ms, warn=LOG.warning), IntakePace(), 0
             LOG.info(o.summary())
@@ -94,6 +94,14 @@ class StreamReader(DataSourceStreamReader):
                 return found
             time.sleep(min(0.05, max(0.001, until - time.monotonic())))
 
+    def _hot(self) -> bool:
+        """Whether memory is at its ceiling; told once an hour."""
+        why = memory.paused(memory.resident(), memory.total(), memory.available())
+        if why and memory.warning_due(self.warned_ms, now := self.broker.clock_ms()):
+            LOG.warning("intake pauses: %s memory is short", why)
+            self.warned_ms = now
+        return why is not None
+
     def initialOffset(self) -> dict:
         """Batches that earlier queries made are not this one's; latestOffset may have come first."""
         self._open()
@@ -101,6 +109,7 @@ class StreamReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         broker, o = self._open(), self.options
+        broker.extend(o.subscription, o.lease_ms())
         if o.ack_mode == "afterCheckpoint" and self.consumed is not None:
             broker.settle(o.subscription, self.consumed)
         if self.open_batch or self.over:  # not yet consumed, or nothing more to come
@@ -110,7 +119,7 @@ class StreamReader(DataSourceStreamReader):
         limits = Limits.of(o.batch_count, o.batch_size, ReadLimit(o.max_rows, o.max_bytes, o.min_rows), o.receive_ms).with_budget(self.budget.size)
         limits = limits.until_idle() if self.drain else limits
         kept = (lambda ms: broker.ack(o.subscription, [m.seq for m in ms])) if o.ack_mode == "early" else (lambda _: None)
-        gather = Gather(self._poll, lambda ms: broker.nack(o.subscription, [m.seq for m in ms]), lambda: time.monotonic_ns() // 1_000_000, lambda: memory.paused(memory.resident(), memory.total(), memory.available()) is not None, keep=kept)
+        gather = Gather(self._poll, lambda ms: broker.nack(o.subscription, [m.seq for m in ms]), lambda: time.monotonic_ns() // 1_000_000, self._hot, keep=kept)
         began = time.monotonic_ns()
         wait = None if limits.wait_ms is None else limits.wait_ms * 1_000_000
         out = gather.run(limits, self.tuner.window(wait) // 1_000_000, o.gather_mode, o.limit_ms)

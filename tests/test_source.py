@@ -1,6 +1,7 @@
 """Options, schemas, values, the queue and the stream."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,9 +14,9 @@ from mqstream.sources.avro import struct_of
 from mqstream.sources.options import Options
 from mqstream.sources.schema import METADATA, metadata_schema, registered_schema, table_schema
 from mqstream.streaming.broker import Broker, Message
-from mqstream.streaming.drain import drain
+from mqstream.streaming.drain import drain, settle
 from mqstream.streaming.errors import NotFoundError
-from mqstream.streaming.source import sliced, started
+from mqstream.streaming.source import read_metrics, read_stream, sliced, started
 
 BASE = {"projectId": "p", "subscription": "s"}
 
@@ -156,3 +157,24 @@ def test_drain_splits_and_settles(spark, tmp_path):
     runs = drain(spark, BASE | {"queue": path, "batchCount": "5", "schemaMode": "slim"}, str(tmp_path / "c"), lambda df, _: seen.append(sorted(r.messageid for r in df.collect())))
     assert runs == 3 and [len(x) for x in seen] == [5, 5, 2] and len({i for x in seen for i in x}) == 12
     assert b.counts("projects/p/subscriptions/s") == {"acked": 12}
+
+
+def test_a_running_query_commits_the_batch_before(spark, tmp_path):
+    path, checkpoint = str(tmp_path / "q.db"), str(tmp_path / "c")
+    b = Broker(path)
+    b.subscribe("projects/p/subscriptions/s")
+    b.publish([Message(f"m{k}", b"{}", {}, k, "") for k in range(6)])
+    options, seen = BASE | {"queue": path, "batchCount": "2", "receiveTime": "1s"}, []
+    stream = read_stream(spark, options).writeStream.foreachBatch(lambda df, _: seen.extend(r.messageid for r in df.collect()))
+    query = stream.option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start()
+    try:
+        until = time.monotonic() + 90
+        while len(seen) < 6 and time.monotonic() < until:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert sorted(seen) == [f"m{k}" for k in range(6)]
+    assert b.counts("projects/p/subscriptions/s")["acked"] >= 4
+    assert settle(spark, Options.of(options), checkpoint) == 2
+    assert b.counts("projects/p/subscriptions/s") == {"acked": 6}
+    assert {r["name"]: r["value"] for r in read_metrics(spark, options).where("batch = 2").collect()}["lastGatherMessageCount"] == "2"
