@@ -12,10 +12,11 @@ Candidates are confirmed on the full shingle sets (64-bit hashes of all shingles
 1. Documents with equal sets are one class, represented by its smallest id; only these go on.
 2. In each table the smallest id is the centre; each document is compared with the centre it shares most
    tables with. Confirmed links give first components.
-3. Where a table still holds several components, all pairs between their documents are compared until
-   a link is found, in blocks of BLOCK by BLOCK documents, so that neither a pair per row nor a whole group
-   is ever formed. Pairs within a component need no comparison. Components whose set sizes cannot reach
-   the similarity are skipped, which is exact.
+3. Where a table still holds several components, their documents are compared until a link is found. Documents
+   have a home block each, of at most about BLOCK documents and BLOCK_SHINGLES shingles: their component's if
+   that is large, otherwise their family's, which is what the unconfirmed best centres connect. Blocks that meet
+   in such a table are paired once and all their documents compared, but for those connected already, so a row
+   is a pair of blocks: neither pairs of documents nor whole groups are ever rows, and no candidate is left out.
 
 Shingles are ``words`` consecutive words, lower-cased A-Z; a shorter text is one shingle; a null or empty
 one has none and is linked with nothing. A row without an id is linked with nothing and is kept. Rows with
@@ -32,12 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, saved, small_batches, texts_of
+from .common import batch_of, kept, settled, small, small_batches, texts_of
 from .components import components
 
 WORDS, PERCENT, BANDS, ROWS = 2, 80, 12, 4
 TABLE = ["l", "r"]
-BLOCK = 32
+BLOCK, BLOCK_SHINGLES = 128, 1 << 16
 CHUNK = 8192
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,112 +137,113 @@ def confirm_pairs(pairs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def confirm_blocks(blocks: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (u, v) among rows (xs, ys), lists of (doc, comp, text): the first link of each component of xs."""
+    """Links (u, v) among rows (xs, ys), lists of (doc, comp, text): enough of them to connect, with the components there
+    are, all documents of the two lists that are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
 
-        def sets(items: list[dict]) -> list[tuple[int, int, np.ndarray]]:
-            return [(i["doc"], i["comp"], shingle_set((i["text"] or "").encode(), words, hashes)) for i in items]
+        def sets(items: pa.Scalar) -> list[tuple[int, int, set]]:
+            return [(i["doc"], i["comp"], set(shingle_set((i["text"] or "").encode(), words, hashes).tolist())) for i in items.as_py()]
 
         for b in batches:
             hits = []
             for xs, ys in zip(b.column(0), b.column(1), strict=True):
-                ys, done = sets(ys.as_py()), set()
-                for u, comp, s in sets(xs.as_py()):
-                    if comp not in done and (v := next((v for v, _, t in ys if linked(s, t, percent)), None)) is not None:
-                        hits.append((u, v))
-                        done.add(comp)
+                root: dict[int, int] = {}
+
+                def find(c: int, root: dict[int, int] = root) -> int:
+                    while (up := root.get(c, c)) != c:
+                        c = up
+                    return c
+
+                ys = sets(ys)
+                for u, c, x in sets(xs):
+                    low, high = -(-percent * len(x) // 100), 100 * len(x) // percent
+                    for v, d, y in ys:
+                        if c != d and low <= len(y) <= high and find(c) != find(d):
+                            both = len(x & y)
+                            if 100 * both >= percent * (len(x) + len(y) - both):
+                                hits.append((u, v))
+                                root[find(c)] = find(d)
             yield batch_of({"u": ([u for u, _ in hits], pa.int64()), "v": ([v for _, v in hits], pa.int64())})
 
     return blocks.select("xs", "ys").mapInArrow(run, "u long, v long")
 
 
-def packed(rows: DataFrame, by: str, salt: str) -> DataFrame:
-    """Lists of about BLOCK rows (doc, comp, text) that share ``by``, dealt by a hash of ``salt``."""
-    counts = saved(rows.groupBy(by).agg(F.ceil(F.count("*") / BLOCK).alias("lists")), "counts")
-    dealt = rows.join(counts, by).withColumn("pack", F.pmod(F.xxhash64(salt), F.col("lists")))
-    return dealt.groupBy(by, "pack").agg(F.collect_list(F.struct("doc", "comp", "text")).alias("items"))
-
-
 def shared(rows: DataFrame, *key: str) -> DataFrame:
     """The rows whose key occurs more than once. Counts combine before the shuffle, and a hot key's rows are split."""
-    hot = saved(rows.groupBy(*key).count().where("count > 1").select(*key), "shared-keys")
+    hot = settled(rows.groupBy(*key).count().where("count > 1").select(*key), "hot")
     return rows.join(hot, list(key))
 
 
 def table_keys(reps: DataFrame) -> DataFrame:
     """(l, r, doc) for each table in which a document meets another; the table's key is the pair (l, r)."""
     sides = reps.select("doc", F.explode(F.concat(F.transform("left", lambda k: F.struct(F.lit(0).alias("side"), k.alias("sub"))), F.transform("right", lambda k: F.struct(F.lit(1).alias("side"), k.alias("sub"))))).alias("x"))
-    met = saved(shared(sides.select("doc", "x.side", "x.sub"), "sub"), "sub-keys")
+    met = settled(shared(sides.select("doc", "x.side", "x.sub"), "sub"), "met")
     left = met.where("side = 0").select("doc", F.col("sub").alias("l"))
     right = met.where("side = 1").select("doc", F.col("sub").alias("r"))
     return shared(left.join(right, "doc").select("l", "r", "doc"), *TABLE)
 
 
-def meeting(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
-    """(comp, to) columns of both sides for components that meet in a table, where their set sizes allow a link."""
-    other = others.select(*TABLE, *(F.col(c).alias(f"to_{c}") for c in others.columns if c not in TABLE))
-    fits = (100 * F.col("most") >= percent * F.col("to_least")) & (100 * F.col("to_most") >= percent * F.col("least"))
-    return rows.join(other, TABLE).where(fits)
-
-
-def group_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (comp, to) in which ``to``, the larger, has several documents."""
-    met = meeting(mixed, mixed.where("held > 1"), percent).where(F.struct("held", "comp") < F.struct("to_held", "to_comp"))
-    return met.select("comp", F.col("to_comp").alias("to")).distinct()
-
-
-def single_pairs(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (comp, to) of single documents, each from the first table they share only."""
-    single = mixed.where("held = 1").join(reps.select(F.col("doc").alias("comp"), "left", "right"), "comp")
-    first = (F.array_intersect("left", "to_left")[0] == F.col("l")) & (F.array_intersect("right", "to_right")[0] == F.col("r"))
-    return meeting(single, single, percent).where((F.col("comp") < F.col("to_comp")) & first).select("comp", F.col("to_comp").alias("to"))
+def homes(members: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(doc, comp, block, only) of the documents in mixed tables; ``only`` is the component of a block that holds no other."""
+    held = members.groupBy("comp").agg(F.count("*").alias("held"))
+    active = mixed.select("doc").distinct().join(members, "doc").join(settled(held, "held"), "comp")
+    home = active.withColumn("only", F.when(F.col("held") > BLOCK, F.col("comp"))).withColumn("home", F.coalesce("only", "family"))
+    home = settled(home.select("doc", "comp", "n", "only", "home"), "home")
+    by = [F.col("only").isNull().alias("mixed"), "home"]
+    lists = home.groupBy(*by).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("lists"))
+    dealt = home.withColumn("mixed", F.col("only").isNull()).join(settled(lists, "lists"), ["mixed", "home"])
+    block = F.xxhash64("mixed", "home", F.pmod(F.xxhash64("doc"), F.col("lists")))
+    return settled(dealt.select("doc", "comp", block.alias("block"), "only"), "homes")
 
 
 def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Confirmed links (u, v) between representatives that connect what is connected."""
     reps = sigs.where("doc = rep AND n > 0").select("doc", "n", "left", "right")
-    tables = saved(table_keys(reps), "tables")
+    tables = settled(table_keys(reps), "tables")
     # Each document's best centre.
-    centres = saved(tables.groupBy(*TABLE).agg(F.min("doc").alias("centre")), "centres")
+    centres = settled(tables.groupBy(*TABLE).agg(F.min("doc").alias("centre")), "centres")
     votes = tables.join(centres, TABLE).where("doc <> centre").groupBy("doc", "centre").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre"))
-    candidates = tables.select("doc").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(candidates, "doc", "left_semi")
-    texts = saved(texts, "texts")
+    best = settled(votes.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre")), "best")
+    candidates = settled(tables.select("doc").distinct(), "candidates")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(small(candidates), "doc", "left_semi")
+    texts = kept(texts)
     stars = best.join(texts, "doc").select(F.col("doc").alias("u"), F.col("centre").alias("v"), F.col("text").alias("u_text"))
     stars = stars.join(texts.select(F.col("doc").alias("v"), F.col("text").alias("v_text")), "v")
-    first = saved(confirm_pairs(stars, words, percent), "links")
-    comps = components(first)
+    first = kept(confirm_pairs(stars, words, percent))
     # What still meets across components.
-    sizes = sigs.where("doc = rep").groupBy("doc").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    members = saved(candidates.join(comps.withColumnRenamed("node", "doc"), "doc", "left").join(sizes, "doc").select("doc", F.coalesce("comp", "doc").alias("comp"), "least", "most"), "members")
-    groups = saved(members.groupBy("comp").agg(F.count("*").alias("held"), F.min("least").alias("least"), F.max("most").alias("most")), "groups")
-    placed = saved(tables.join(members.select("doc", "comp"), "doc").select(*TABLE, "comp").distinct(), "placed")
-    mixed = saved(shared(placed, *TABLE).join(groups, "comp"), "mixed")
-    pairs = saved(group_pairs(mixed, percent).union(single_pairs(mixed, reps, percent)), "pairs")
-    held = members.select("doc", "comp").join(texts, "doc")
-    xs = packed(pairs.join(held, "comp"), "to", "doc").withColumnRenamed("items", "xs")
-    wanted = pairs.select(F.col("to").alias("comp")).distinct()
-    ys = packed(held.join(wanted, "comp", "left_semi"), "comp", "doc").select(F.col("comp").alias("to"), F.col("items").alias("ys"))
-    second = saved(confirm_blocks(xs.select("to", "xs").join(ys, "to"), words, percent), "links")
+    comps = components(first).withColumnRenamed("node", "doc")
+    families = components(best.select(F.col("doc").alias("u"), F.col("centre").alias("v"))).select(F.col("node").alias("doc"), F.col("comp").alias("family"))
+    members = candidates.join(reps.groupBy("doc").agg(F.max("n").alias("n")), "doc").join(comps, "doc", "left").join(families, "doc", "left")
+    members = settled(members.select("doc", "n", F.coalesce("comp", "doc").alias("comp"), F.coalesce("family", "doc").alias("family")), "members")
+    placed = settled(tables.join(members.select("doc", "comp"), "doc"), "placed")
+    open_tables = settled(placed.groupBy(*TABLE).agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select(*TABLE), "open")
+    mixed = settled(placed.join(open_tables, TABLE).select(*TABLE, "doc"), "mixed")
+    home = homes(members, mixed)
+    met = settled(mixed.join(home, "doc").select(*TABLE, "block", "only").distinct(), "met")
+    other = met.select(*TABLE, F.col("block").alias("to"), F.col("only").alias("to_only"))
+    pairs = met.join(other, TABLE).where((F.col("block") <= F.col("to")) & ~F.coalesce(F.col("only") == F.col("to_only"), F.lit(False)))
+    pairs = settled(pairs.select("block", "to").distinct(), "pairs")
+    contents = kept(home.join(texts, "doc").groupBy("block").agg(F.collect_list(F.struct("doc", "comp", "text")).alias("xs")))
+    rows = pairs.join(contents, "block").join(contents.select(F.col("block").alias("to"), F.col("xs").alias("ys")), "to")
+    second = kept(confirm_blocks(rows, words, percent))
     return first.union(second)
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id, kept, class_id (the smallest id with an equal set)."""
     small_batches(docs.sparkSession)
-    sigs = saved(signatures(docs, words, bands, rows, id_col, text_col), "signatures")
+    sigs = settled(signatures(docs, words, bands, rows, id_col, text_col), "sigs")
     copies = sigs.where("n > 0 AND doc IS NOT NULL").groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("held"))
-    copies = saved(copies.where("held > 1").select("digest", "rep"), "copies")
+    copies = settled(copies.where("held > 1").select("digest", "rep"), "copies")
     sigs = sigs.join(copies, "digest", "left").select("doc", "n", "left", "right", F.coalesce("rep", "doc").alias("rep"))
-    sigs = saved(sigs, "classes")
+    sigs = settled(sigs, "sigs")
     found = links(docs, sigs.where("doc IS NOT NULL"), words, percent, id_col, text_col)
     # An id with several texts ties their classes together.
     ties = sigs.where("doc IS NOT NULL").groupBy("doc").agg(F.min("rep").alias("u"), F.max("rep").alias("v"), F.collect_set("rep").alias("reps"))
     ties = ties.where("u <> v").select("u", F.explode("reps").alias("v"))
-    comps = saved(components(found.union(ties)), "components")
+    comps = components(found.union(ties))
     out = sigs.join(comps.select(F.col("node").alias("rep"), "comp"), "rep", "left")
     component = F.coalesce("comp", "rep")
     return out.select(
