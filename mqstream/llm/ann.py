@@ -129,7 +129,9 @@ def shortlists(reps: DataFrame, queries: DataFrame, books: np.ndarray, shortlist
 
     n_codes, n_queries = reps.count(), queries.count()
     code_blocks, query_blocks = max(1, -(-n_codes // CODE_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
-    coded = reps.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(code_blocks)).cast("long")).mapInArrow(pack, "rep long, block long, code binary, norm float")
+    # Coding is the work here, so it is dealt to all cores however few files the vectors are in.
+    dealt = reps.repartition(max(code_blocks, reps.sparkSession.sparkContext.defaultParallelism), "rep")
+    coded = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(code_blocks)).cast("long")).mapInArrow(pack, "rep long, block long, code binary, norm float")
     codes = coded.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("rep", "code", "norm"))).alias("codes"))
     asked = queries.groupBy(F.pmod(F.xxhash64("query"), F.lit(query_blocks)).alias("asked")).agg(F.collect_list(F.struct("query", "v")).alias("queries"))
     # A row for each pair of blocks; the queries are a stated set and meet all codes.
