@@ -1,7 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts and test items are normalised (lower-case A-Z, runs of ASCII punctuation and white space as one space,
-a space at either end). An item of m characters may differ by k = floor(rate * m) edits. It is cut into
+Texts and test items are normalised (case folded for all of Unicode, composed characters, runs of ASCII punctuation
+and white space as one space, a space at either end). An item of m characters may differ by k = floor(rate * m) edits. It is cut into
 k + 1 pieces; a passage within k edits holds at least one piece unchanged, so exact hits of the pieces, found
 for all items at once by an Aho-Corasick automaton, miss nothing. Around each hit the item is verified with
 Myers' bit-parallel distance against the text's best substring.
@@ -13,6 +13,7 @@ are null or without words match nothing, and neither do null or empty texts. Rep
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,6 +28,9 @@ SPACED = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256)).low
 
 
 def normal(raw: bytes) -> str:
+    if not raw.isascii():
+        # Canonical caseless form: texts that differ in case or composition only are equal.
+        raw = unicodedata.normalize("NFC", unicodedata.normalize("NFD", raw.decode()).casefold()).encode()
     words = raw.translate(SPACED).split()
     return f" {b' '.join(words).decode()} " if words else ""
 

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -278,6 +279,14 @@ def test_leaks(spark, edges):
         assert all(0 <= r.distance <= r.budget and r.start < r.end for r in got)
 
 
+def test_leaks_whatever_the_case_and_composition(spark):
+    items = [(1, "Là où l'été s'achève, Zoë a dîné près du château fermé"), (2, "Größere Straßen führen über fünf hübsche Brücken"), (3, "El niño soñó con la cigüeña y el jardín")]
+    forms = [str.upper, str.lower, str.title, lambda t: unicodedata.normalize("NFD", t), lambda t: unicodedata.normalize("NFD", t.upper())]
+    rows = [(10 * i + k, f"{prose(9)} {form(t)} {prose(9)}") for i, t in items for k, form in enumerate(forms)]
+    got = decontaminate.leaks(docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in got) == sorted((d, d // 10, 0) for d, _ in rows)
+
+
 def test_leaks_empty(spark, edges, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.leaks(edges, none).count() == 0
