@@ -2,13 +2,17 @@
 
 A vector is coded as the sum of one codeword from each of LEVELS codebooks of full dimension. The codebooks
 are fitted level by level on the residuals of a bounded sample (about FIT_ROWS vectors chosen by hash); codes
-are found by beam search of width BEAM. Each code's squared norm is stored, so that lookup tables of
-query-by-codeword products score inner products directly and Euclidean distances with the norm. All codes are scored for every query, a block of queries against a block of codes at
-a time, each pair of blocks keeping the best ``shortlist`` candidates for each query; blocks come to the
-tasks as packed rows. The shortlists are merged and reranked by exact products in double precision.
+are found by beam search of width BEAM. Each vector's squared norm is stored, so that lookup tables of
+query-by-codeword products score inner products directly and Euclidean distances with the norm, and so is the
+length of what its code leaves over, which bounds how far a score by tables can be off. All codes are scored for
+every query, a block of queries against a block of codes at a time; blocks come to the tasks as packed rows.
 
-Equal vectors are one candidate, so any number of copies takes one place in a shortlist; after reranking it
-stands for its k + 1 smallest ids, which is exact. Vectors that are null, zero, hold a null or non-finite
+No fixed number of candidates decides what is found. The best ``shortlist`` codes of a block are scored exactly
+first; the best of these set a bar, and every vector of the block whose score by tables plus its bound reaches the
+bar is scored exactly, however many they are (a large group of nearly equal vectors, which no code tells apart, is
+scored whole, by matrix products). So each block gives its best by exact scores; they are merged and ranked.
+
+Equal vectors are one candidate; after ranking it stands for its k + 1 smallest ids, which is exact. Vectors that are null, zero, hold a null or non-finite
 component, or have another length than most vectors, take no part. Of rows that repeat an id one counts.
 """
 
@@ -75,8 +79,14 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
     return out
 
 
-def norms_of(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
-    return (sum(books[m][codes[:, m]] for m in range(len(books))) ** 2).sum(1)
+def errors_of(x: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """For each vector the most by which its inner product with a query of length 1 can differ from the tables' score: the
+    length of its residual, and what single precision may lose."""
+    rest = x.astype(np.float64)
+    for m in range(len(books)):
+        rest -= books[m][codes[:, m]]
+    rounding = (len(books) + x.shape[1]) * 2.0**-22 * np.sqrt((books.astype(np.float64) ** 2).sum(2).max(1)).sum()
+    return np.sqrt((rest**2).sum(1)) * (1 + 1e-9) + rounding
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,17 +105,37 @@ def best_of(scores: np.ndarray, ids: np.ndarray, keep: int) -> tuple[np.ndarray,
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
-def score_block(queries: np.ndarray, codes: np.ndarray, books: np.ndarray, norms: np.ndarray | None = None) -> np.ndarray:
-    """Approximate inner products [queries, codes] by lookup tables; with norms, minus half the squared distance."""
+def score_block(queries: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """Approximate inner products [queries, codes] by lookup tables."""
     tables = np.einsum("qd,mwd->mwq", queries, books, optimize=True).astype(np.float32)
     out = np.zeros((len(codes), len(queries)), np.float32)
     for m in range(len(books)):
         out += tables[m][codes[:, m]]
-    if norms is not None:
-        out -= 0.5 * norms[:, None]
     return np.ascontiguousarray(out.T)
 
 
+def best_of_block(queries: np.ndarray, x: np.ndarray, codes: np.ndarray, errors: np.ndarray, books: np.ndarray, ids: np.ndarray, keep: int, shortlist: int, halves: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The ``keep`` best vectors x of a block for each query by exact inner product, less ``halves`` if given, as ``best_of``.
+    Scores by tables choose which vectors are scored exactly, and leave out none that could be among the best."""
+    asked, x = queries.astype(np.float64), x.astype(np.float64)
+    minus = 0.0 if halves is None else halves
+    near = score_block(queries, codes, books) - minus
+    bars = np.full(len(asked), -np.inf)
+    if len(x) > keep:
+        first = np.argpartition(-near, min(max(shortlist, keep), len(x)) - 1, axis=1)[:, : max(shortlist, keep)]
+        for r, at in enumerate(first):
+            exact = x[at] @ asked[r] - (0.0 if halves is None else halves[at])
+            bars[r] = np.partition(exact, len(at) - keep)[len(at) - keep]
+    # What rounding may lose in the exact scores and in a sum with the halves.
+    spare = 1e-9 * (np.abs(bars) + 1)
+    lengths = np.sqrt((asked**2).sum(1))
+    reach = near + lengths[:, None] * errors >= np.where(np.isfinite(bars), bars - spare, bars)[:, None]
+    some = np.flatnonzero(reach.any(0))
+    exact = asked @ x[some].T - (0.0 if halves is None else halves[some])
+    exact[~reach[:, some]] = -np.inf
+    return best_of(exact, ids[some], keep)
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, v): the rows that take part, one for each id."""
     bad = F.exists(vector_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -119,20 +149,22 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float32).reshape(len(column), -1)
 
 
-def shortlists(reps: DataFrame, queries: DataFrame, books: np.ndarray, shortlist: int, measure: str) -> DataFrame:
-    """(query, candidates array) over all candidates (rep, v) for queries (query, v)."""
+def nearest(reps: DataFrame, queries: DataFrame, books: np.ndarray, keep: int, shortlist: int, measure: str) -> DataFrame:
+    """(query, candidates array), the ``keep`` best of all candidates (rep, v) for queries (query, v)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            codes = encode(matrix(b.column(1)), books)
-            yield batch_of({"rep": (b.column(0).to_pylist(), pa.int64()), "block": (b.column(2).to_pylist(), pa.int64()), "code": ([c.tobytes() for c in codes.astype(np.uint8 if books.shape[1] <= 256 else np.uint16)], pa.binary()), "norm": (norms_of(codes, books).tolist(), pa.float32())})
+            x = matrix(b.column(1))
+            codes = encode(x, books)
+            norms = (x.astype(np.float64) ** 2).sum(1)
+            yield batch_of({"rep": (b.column(0).to_pylist(), pa.int64()), "block": (b.column(2).to_pylist(), pa.int64()), "code": ([c.tobytes() for c in codes.astype(np.uint8 if books.shape[1] <= 256 else np.uint16)], pa.binary()), "norm": (norms.tolist(), pa.float64()), "error": (errors_of(x, codes, books).tolist(), pa.float64()), "x": ([v.tobytes() for v in x], pa.binary())})
 
     n_codes, n_queries = reps.count(), queries.count()
     code_blocks, query_blocks = max(1, -(-n_codes // CODE_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
     # Coding is the work here, so it is dealt to all cores however few files the vectors are in.
     dealt = reps.repartition(max(code_blocks, reps.sparkSession.sparkContext.defaultParallelism), "rep")
-    coded = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(code_blocks)).cast("long")).mapInArrow(pack, "rep long, block long, code binary, norm float")
-    codes = coded.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("rep", "code", "norm"))).alias("codes"))
+    coded = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(code_blocks)).cast("long")).mapInArrow(pack, "rep long, block long, code binary, norm double, error double, x binary")
+    codes = coded.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("rep", "code", "norm", "error", "x"))).alias("codes"))
     asked = queries.groupBy(F.pmod(F.xxhash64("query"), F.lit(query_blocks)).alias("asked")).agg(F.collect_list(F.struct("query", "v")).alias("queries"))
     # A row for each pair of blocks; the queries are a stated set and meet all codes.
     pairs = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(code_blocks - 1).cast("long")))).join(codes, "block").repartition("asked", "block")
@@ -142,9 +174,10 @@ def shortlists(reps: DataFrame, queries: DataFrame, books: np.ndarray, shortlist
             for k in range(b.num_rows):
                 q, c = b.column(1)[k].values, b.column(2)[k].values
                 names, of = np.asarray(c.field("rep")), np.frombuffer(b"".join(c.field("code").to_pylist()), np.uint8 if books.shape[1] <= 256 else np.uint16).reshape(len(c), -1)
-                norms = np.asarray(c.field("norm")) if measure == "euclidean" else None
-                s, ids = best_of(score_block(matrix(q.field("v")), of, books, norms), names, shortlist)
-                yield batch_of({"asked": ([b.column(0)[k].as_py()], pa.int64()), "query": ([np.asarray(q.field("query")).tobytes()], pa.binary()), "score": ([s.astype(np.float32).tobytes()], pa.binary()), "rep": ([ids.astype(np.int64).tobytes()], pa.binary())})
+                x = np.frombuffer(b"".join(c.field("x").to_pylist()), np.float32).reshape(len(c), -1)
+                halves = 0.5 * np.asarray(c.field("norm")) if measure == "euclidean" else None
+                s, ids = best_of_block(matrix(q.field("v")), x, of, np.asarray(c.field("error")), books, names, keep, shortlist, halves)
+                yield batch_of({"asked": ([b.column(0)[k].as_py()], pa.int64()), "query": ([np.asarray(q.field("query")).tobytes()], pa.binary()), "score": ([s.astype(np.float64).tobytes()], pa.binary()), "rep": ([ids.astype(np.int64).tobytes()], pa.binary())})
 
     found = pairs.select("asked", "queries", "codes").mapInArrow(search, "asked long, query binary, score binary, rep binary")
 
@@ -158,14 +191,14 @@ def shortlists(reps: DataFrame, queries: DataFrame, books: np.ndarray, shortlist
         for b in batches:
             for row in b.to_pylist():
                 q = np.frombuffer(row["query"], np.int64)
-                s, ids = np.frombuffer(row["score"], np.float32).reshape(len(q), -1), np.frombuffer(row["rep"], np.int64).reshape(len(q), -1)
+                s, ids = np.frombuffer(row["score"], np.float64).reshape(len(q), -1), np.frombuffer(row["rep"], np.int64).reshape(len(q), -1)
                 if row["asked"] != open_block:
                     if open_block is not None:
                         yield done()
                     open_block, held = row["asked"], (q, s, ids)
                 else:
                     s, ids = np.hstack([held[1], s]), np.hstack([held[2], ids])
-                    order = np.lexsort((ids, -s), axis=1)[:, :shortlist]
+                    order = np.lexsort((ids, -s), axis=1)[:, :keep]
                     held = (q, np.take_along_axis(s, order, 1), np.take_along_axis(ids, order, 1))
         if open_block is not None:
             yield done()
@@ -191,7 +224,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, shortlist: int = SH
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     books = fit(matrix(sample["v"].combine_chunks()))
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query"), "v")
-    lists = settled(shortlists(reps.select("rep", "v"), asked, books, shortlist + 1, measure), "shortlists")
+    # Twice as many as are asked for: the rest are for scores that differ by rounding only.
+    lists = settled(nearest(reps.select("rep", "v"), asked, books, 2 * (k + 1), shortlist + 1, measure), "nearest")
     pairs = lists.select("query", F.explode("candidates").alias("rep"))
     joined = pairs.join(reps.select("rep", F.col("v").alias("c")), "rep").join(asked.withColumnRenamed("v", "q"), "query")
     term = (lambda a, b: a.cast("double") * b.cast("double")) if measure == "inner" else (lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))

@@ -361,6 +361,22 @@ def test_neighbours(spark):
     assert hits >= 0.95 * 20 * len(want)
 
 
+@pytest.mark.parametrize("measure", ["inner", "euclidean"])
+def test_neighbours_in_a_large_group_of_nearly_equal_vectors(spark, measure):
+    draw = np.random.default_rng(8)
+    for n in (3000, 6000):
+        x = draw.normal(size=(n, 16)).astype(np.float32)
+        x[::3] = x[0] + 1e-4 * draw.normal(size=x[::3].shape)  # one third, closer than codes can tell
+        rows = [(i, v.tolist()) for i, v in enumerate(x)]
+        got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=60, shortlist=40, measure=measure).collect()
+        y, hits, queries_ = x.astype(np.float64), 0, range(0, n, 60)
+        for q in queries_:
+            score = y @ y[q] if measure == "inner" else -((y - y[q]) ** 2).sum(1)
+            score[q] = -np.inf
+            hits += len(set(np.argsort(-score, kind="stable")[:20].tolist()) & {r.vec_id for r in got if r.query_id == q})
+        assert hits >= 0.999 * 20 * len(queries_)
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in ann.search(few).orderBy("rank").collect()] == [(0, 1, 2, 1.0), (0, 2, 1, 0.0)]
