@@ -2,9 +2,9 @@
 
 Base kinds (assignments, access identifiers, long hexadecimal runs) are reported wherever they occur.
 Weaker parts are common in clean text and are reported only where complementary parts meet inside one
-scope: the parts are half-open intervals of a document, the scope is a run of lines without an empty line
-that is at most ``reach`` code points wide around the identifier, and the join of the intervals is one
-ordered sweep per document. A weak secret needs an identifier near it, a weak identifier needs a secret,
+scope: the parts are half-open intervals of a document, of any length; the scope is a run of lines without an
+empty line, in which at most ``reach`` code points lie between the end of one part and the start of the other;
+and the join of the intervals is one ordered sweep per document. A weak secret needs an identifier near it, a weak identifier needs a secret,
 and an endpoint is reported only when both are there.
 
 Null and empty texts give no spans. Repeated rows give repeated results. Extra columns are ignored.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,9 +29,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Weak parts. An identifier or a secret alone is too common to report.
-WEAK_ID = re.compile(r"""(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]{3,64})""", re.I | re.A)
-WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/=_-])")
-ENDPOINT = re.compile(r"""(?:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|jdbc:[a-z]+)://[^\s"'<>]{4,200}""")
+WEAK_ID = re.compile(r"""(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]{3,})""", re.I | re.A)
+WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/=_-])")
+ENDPOINT = re.compile(r"""(?:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|jdbc:[a-z]+)://[^\s"'<>]{4,}""")
 BLANK = re.compile(r"\n[\x20\t\r]*\n")
 KINDS = ("assign", "access", "hex", "linked_id", "linked_secret", "linked_endpoint")
 HEX_ONLY = bytes.maketrans(bytes(range(256)), bytes(120 if chr(i) in "0123456789abcdef" else 32 for i in range(256)))
@@ -84,28 +85,26 @@ def linked_spans(raw: bytes, base: list[Span], reach: int, text: str | None = No
     if not ids:
         return []
     taken = sorted((s.start, s.end) for s in [*ids, *strong_secrets])
+    tops = list(itertools.accumulate((end for _, end in taken), max))
 
     def free(a: int, b: int) -> bool:
         k = bisect.bisect_left(taken, (b,))
-        return all(end <= a for _, end in taken[max(0, k - 4) : k])
+        return not k or tops[k - 1] <= a
 
     weak_secrets = [Span("linked_secret", *m.span()) for m in WEAK_SECRET.finditer(text) if free(*m.span()) and mixed(m[0])]
     endpoints = [Span("linked_endpoint", *m.span()) for m in ENDPOINT.finditer(text)] if "://" in text else []
     starts = scopes(text)
     secrets = sorted(strong_secrets + weak_secrets, key=lambda s: s.start)
 
-    def scope(s: Span) -> int:
-        return bisect.bisect_right(starts, s.start)
-
     def near(of: list[Span], to: list[Span]) -> list[bool]:
-        """For each interval of ``of``, whether one of ``to`` is in its scope and within reach; both are ordered by start."""
-        at, out = [s.start for s in to], []
+        """For each interval of ``of``, whether one of ``to`` is in its scope and within reach, from the end of one to the
+        start of the other; ``to`` is ordered by start. No part goes beyond its scope, so the furthest end so far is in the same one."""
+        at, ends, out = [s.start for s in to], list(itertools.accumulate((s.end for s in to), max)), []
         for s in of:
-            k, hit = bisect.bisect_left(at, s.start - reach), False
-            while not hit and k < len(to) and at[k] <= s.end + reach:
-                hit = scope(to[k]) == scope(s)
-                k += 1
-            out.append(hit)
+            n = bisect.bisect_right(starts, s.start)
+            first = bisect.bisect_left(at, starts[n - 1])
+            last = min(bisect.bisect_right(at, s.end + reach), bisect.bisect_left(at, starts[n]) if n < len(starts) else len(at))
+            out.append(last > first and ends[last - 1] >= s.start - reach)
         return out
 
     id_hit, secret_hit = near(ids, secrets), near(secrets, ids)
