@@ -1,7 +1,9 @@
 """License scan by canonical digests, with DataFrame operations only.
 
 A text is brought to a canonical form: lower case, every run of characters other than letters and digits
-is one space, copyright lines go, and equivalent spellings are made one. The MD5 digest of the whole form
+is one space, copyright lines go, and equivalent spellings are made one. A copyright line has the form of one:
+the word or sign before a sign, a year, a blank to be filled in or a capitalised holder. A line of a wrapped text
+that begins with such a word ('copyright notice', 'copyright holders', item '(c)') stays. The MD5 digest of the whole form
 is joined to the digests of known licences, which pass through the same expressions. Whole documents are
 looked up, and each single line as a text of its own, so that one-line notices inside a document are found.
 
@@ -17,18 +19,27 @@ from pyspark.sql import functions as F
 
 from .license_texts import KNOWN, SPELLINGS
 
+#: The plain form, for the SQL.
 COPYRIGHT = r"^(copyright|\(c\)|©|portions copyright|all rights reserved)"
+#: What follows "copyright" where it is no statement of one, also in capitals.
+NOT_HELD = r"(?i:notices?|holders?|owners?|laws?|licen[sc]e\w*|statements?|and|or|in|on|to|is|of|for|protection|interests?|rights?)\b"
+HOLDER = rf"(?:(?i:by)\s+)?(?!{NOT_HELD})\p{{Lu}}"
+COPYRIGHT_LINE = (
+    rf"^(?:(?i:portions\s+)?(?i:copyright)\b[\s:,]*(?:(?i:\(c\))|©|\d{{4}}|[<\[{{{{]|{HOLDER})"
+    r"|©|(?i:\(c\))\s*(?:(?i:copyright)\b|.*\b(?:19|20)\d\d\b|(?:\p{Lu}[\p{L}\p{N}.,&'-]*\s*|(?:and|of|the|by|&)\s+)+$)"
+    r"|(?i:all rights reserved)(?:[^\p{L}]*$|\s+(?i:by)\b))"
+)
 NO_WORD = r"[^\p{L}\p{N}]+"
 
 
 def canonical_line(line: Column) -> Column:
     """Words in lower case with a space before and behind each; copyright lines are empty."""
     low = F.lower(line)
-    bare = F.btrim(low, F.lit(" \t\r*#/;-"))
+    bare = F.btrim(line, F.lit(" \t\r*#/;-"))
     words = F.concat(F.lit(" "), F.btrim(F.regexp_replace(low, NO_WORD, " ")), F.lit(" "))
     for a, b in SPELLINGS:
         words = F.replace(words, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.when(bare.rlike(COPYRIGHT) & ~bare.contains("license"), F.lit("")).otherwise(F.btrim(words))
+    return F.when(bare.rlike(COPYRIGHT_LINE) & ~low.contains("license"), F.lit("")).otherwise(F.btrim(words))
 
 
 def canonical(text: Column) -> Column:

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 import unicodedata
 import zlib
 
@@ -477,6 +478,18 @@ def test_licences(spark, edges):
     assert license_scan.scan(edges).count() == len(EDGES) and license_scan.scan(edges).where("license_id is not null").count() == 0
 
 
+def test_wrapped_licences(spark):
+    bodies = {k: v for k, v in KNOWN.items() if not k.startswith("notice: ")}
+    wrapped = lambda t, n: "\n\n".join(textwrap.fill(p, n) for p in t.split("\n\n"))
+    heads = ["", "Copyright (c) 2020 Someone\n\n", "# Copyright: 2019, 2020 a. person\nCopyright Acme Inc.\n(c) Acme Inc.\n© x\nAll rights reserved.\n", "Copyright [yyyy] [name of owner]\nPortions copyright (C) A. Person\n(C) 1999 a\n"]
+    cases = [(k, head + wrapped(t.upper() if n % 2 else t, n)) for k, t in bodies.items() for n in (24, 31, 40, 55, 60, 65, 68, 70, 72, 73, 76, 79, 80, 100) for head in heads]
+    first = "copyright notice and this permission notice appear in all copies."
+    cases.append(("ISC", KNOWN["ISC"].replace(" " + first, "\n" + first)))
+    got = {r.doc_id: r.license_id for r in license_scan.scan(docs_of(spark, [(i, t) for i, (_, t) in enumerate(cases)])).collect()}
+    assert [(k, got[i]) for i, (k, _) in enumerate(cases) if got[i] != k] == []
+    assert any(re.search("(?im)^copyright (notice|holder)", t) for _, t in cases)
+
+
 def test_licences_empty(empty):
     assert license_scan.scan(empty).count() == 0
 
