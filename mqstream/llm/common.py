@@ -7,19 +7,31 @@ import uuid
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch: texts run to hundreds of kilobytes, so batches stay small.
 ARROW_ROWS, ARROW_BYTES = 256, 8 << 20
-ROWS_PER_FILE = 500_000
-BROADCAST_BYTES = 16 << 20
+#: The most that is broadcast, and the most that a partition of a hash join may build on.
+BROADCAST_BYTES, HASH_BYTES = 16 << 20, 64 << 20
+#: A table of at most so many bytes for each core may be dealt anew to all of them.
+SPREAD_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, whose rows meet costly work in any order: a small table in fewer files than there are cores is dealt to all of
+    them. Large ones are in many splits and stay as they are."""
+    cores, files = df.sparkSession.sparkContext.defaultParallelism, len(df.inputFiles())
+    if not 0 < files < cores:
+        return df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size <= cores * SPREAD_BYTES else df
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what a Python worker holds at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
@@ -27,22 +39,34 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share. Only where all of them are this one process (tests) may a temporary one
+    stand in for it: on a cluster each machine would write to a folder of its own, and rows would be lost."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="mqstream-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return f"{base.rstrip('/')}/mqstream-{spark.sparkContext.applicationId}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark's file systems keep it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def saved(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors. Where the number of
-    rows is known to be at most ``rows``, it is written as files of ROWS_PER_FILE rather than one for each task."""
+def clear(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application's operators, once their results have been read or written."""
+    remove(spark, scratch(spark))
+
+
+def saved(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors. ``by`` is a column with
+    few values whose rows are read apart."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/{label}-{uuid.uuid4().hex}"
-    if rows is not None:
-        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,19 +76,20 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """Computed once, counted, and written in files whose number follows from the count, not from the tasks that made it: the
-    tables here are narrow, and many small files cost more than the step itself."""
-    held = kept(df)
-    out = saved(held, label, held.count())
-    held.unpersist()
-    return out
+def settled(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """``saved`` in files whose number follows from the table's bytes, not from the tasks that made it: the tables here are
+    narrow, and many small files cost more than the step itself."""
+    return saved(df.hint("rebalance"), label, by=by)
 
 
-def small(df: DataFrame, row_bytes: int = 16) -> DataFrame:
-    """df, marked for a join with large rows: broadcast if it is counted to be within BROADCAST_BYTES, otherwise the side that
-    a shuffled hash join builds on, so that the large rows are never sorted."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df.hint("shuffle_hash")
+def small(df: DataFrame, row_bytes: Column | int = 16) -> DataFrame:
+    """df, marked for a join with large rows. It is measured: broadcast if within BROADCAST_BYTES; beyond that the side a
+    shuffled hash join builds on, so that the large rows are never sorted, as long as a partition's share can be held in
+    memory; and beyond that a plain join, which spills. ``row_bytes`` is what a row takes."""
+    size = df.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return F.broadcast(df)
+    return df.hint("shuffle_hash") if size <= HASH_BYTES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def batch_of(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
