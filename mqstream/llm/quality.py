@@ -1,18 +1,19 @@
 """Quality classifier: naive Bayes features for a linear support vector machine.
 
-Features are indicators of n-grams of the whole text: hashed byte trigrams, and n-grams up to four of word
-shapes, where a word is the repeat of the word before it, upper case, of letters with ordinary punctuation,
-or anything else, and the share of each shape in tenths. Each indicator is scaled by its class log-count
-ratio, log((p/|p|) / (q/|q|)) over all learning rows, counted by grouped aggregation; the ratios of all
-hashed features are a vector of fixed size. A linear hinge-loss model is then fitted by dual coordinate
-descent, with errors weighted so that both classes weigh the same, in one task on a sample of about
-``fit_rows`` learning rows chosen by hash. Scoring is one pass over the texts.
+Features are indicators of n-grams of the whole text: hashed byte trigrams, and n-grams of up to CLASS_GRAMS
+runs of character classes (letters, capitals, digits, blanks, line ends and three kinds of signs; a run of one
+class is one symbol). Each indicator is scaled by its class log-count ratio, log((p/|p|) / (q/|q|)) over all
+learning rows, counted by grouped aggregation; the ratios of all hashed features are a vector of fixed size. A
+linear hinge-loss model is then fitted by dual coordinate descent, with errors weighted so that both classes
+weigh the same, in one task on a sample of about ``fit_rows`` learning rows chosen by hash. Scoring is one
+pass over the texts.
 
 score = sigmoid(SLOPE * margin + logit(CUT)): the hyperplane lies at CUT, and score >= CUT is class 1.
 
 Learning rows are labelled 0 or 1 and are not held out (crc32 of the id as text modulo 5 is 0). Labels,
-ids and columns other than the text never enter a score. Without learning rows of both classes every score
-is CUT. Null and empty texts have the constant feature alone. Rows that repeat an id count each.
+ids and columns other than the text never enter a score, whatever their names. Without learning rows of both
+classes every score is CUT. Null and empty texts have the constant feature alone. A null id is not held out and has
+no label. Rows that repeat an id, and repeated labels, count each.
 """
 
 from __future__ import annotations
@@ -24,57 +25,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, kept, small_batches, texts_of
+from .common import batch_of, kept, small_batches, spread, texts_of
 from .ngrams import SIZE, STEP, trigrams
 
 FIT_ROWS, EPOCHS, COST = 8000, 12, 0.1
 SLOPE, CUT = 1.5, 0.3
-LETTERS, REPEAT, UPPER, OTHER = range(4)
-SHAPES = SIZE
-SHARES = SHAPES + 4 + 16 + 64 + 256
-BIAS = SHARES + 4 * 11
+CLASS_GRAMS, CLASSES = 5, 8
+BIAS = SIZE + sum(CLASSES**n for n in range(1, CLASS_GRAMS + 1))
 WIDTH = BIAS + 1
 
 
+def class_of(c: int) -> int:
+    """The class of a byte: letters (and all beyond ASCII), capitals, digits, blanks, line ends, stops, quotes and
+    brackets, other signs."""
+    ch = chr(c)
+    tests = (c > 127 or ch.islower(), ch.isupper(), ch.isdigit(), ch == "\n", ch.isspace(), ch in ".,;:!?", ch in "'\"()-")
+    return tests.index(True) if True in tests else len(tests)
+
+
+CLASS = np.asarray([class_of(c) for c in range(256)], np.uint8)
+
+
 class Features:
     """Sorted distinct feature numbers of a text."""
 
-    def __init__(self, keep: int = 200_000):
-        self.seen: dict[bytes, int] = {}
-        self.keep, self.flags = keep, np.zeros(WIDTH, bool)
-
-    def word(self, w: bytes) -> int:
-        """A word's hash with its shape in the low bits."""
-        if (code := self.seen.get(w)) is None:
-            core = w.rstrip(b".,;:!?") if w[-1:] in b".,;:!?" and w[-2:-1] not in b".,;:!?" else w
-            text = core.decode()
-            shape = UPPER if len(text) > 1 and text.isupper() else LETTERS if text.isalpha() else OTHER
-            code = self.seen[w] = (hash(w) & 0x7FFFFFFFFFFFFFFC) | shape
-        return code
-
-    def shapes(self, raw: bytes) -> np.ndarray:
-        if len(self.seen) > self.keep:
-            self.seen.clear()
-        words = raw.split()
-        codes = np.fromiter(map(self.word, words), np.int64, len(words))
-        shape = codes & 3
-        shape[1:][codes[1:] == codes[:-1]] = REPEAT
-        return shape
+    def __init__(self) -> None:
+        self.flags = np.zeros(WIDTH, bool)
 
     def __call__(self, raw: bytes) -> np.ndarray:
         flags = self.flags
         for k in range(0, max(1, len(raw) - 2), STEP):
             flags[trigrams(raw[k : k + STEP + 2])] = True
-        s, base = self.shapes(raw), SHAPES
-        for n in range(1, 5):
-            if len(s) >= n:
-                v = np.zeros(len(s) - n + 1, np.int64)
-                for j in range(n):
-                    v = v * 4 + s[j : len(s) - n + 1 + j]
-                flags[base + v] = True
-            base += 4**n
-        for k, n in enumerate(np.bincount(s, minlength=4)):
-            flags[SHARES + 11 * k + int(10 * n // max(1, len(s)))] = True
+        s = CLASS[np.frombuffer(raw, np.uint8)]
+        s = s[np.flatnonzero(np.diff(s, prepend=CLASSES))].astype(np.int64)
+        base, v = SIZE, np.zeros(len(s) + 1, np.int64)
+        for n in range(1, CLASS_GRAMS + 1):
+            v = v[:-1][: len(s) - n + 1] * CLASSES + s[n - 1 :]
+            flags[base + v] = True
+            base += CLASSES**n
+            if len(v) < 2:
+                break
         flags[BIAS] = True
         found = np.flatnonzero(flags)
         flags[found] = False
@@ -143,6 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, fit_rows: int = FIT_
     at = totals["doc"].to_numpy()
     ones[at], zeros[at] = totals["ones"].to_numpy(), totals["zeros"].to_numpy()
     if not ones[BIAS] or not zeros[BIAS]:
+        seen.unpersist()
         return np.zeros(WIDTH)
     r = ratios(ones, zeros)
 
@@ -152,7 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, fit_rows: int = FIT_
         yield batch_of({"w": ([(w * r).tobytes()], pa.binary())})
 
     sample = seen.where("label IS NOT NULL").select("doc", "label", "x").coalesce(1)  # about fit_rows rows
-    return np.frombuffer(sample.mapInArrow(descend, "w binary").first()["w"])
+    weights = np.frombuffer(sample.mapInArrow(descend, "w binary").first()["w"])
+    seen.unpersist()
+    return weights
 
 
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,7 +163,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
             yield batch_of({"id": (b.column(0).to_pylist(), pa.int64()), "held_out": (b.column(1).to_pylist(), pa.bool_()), "score": (scores.tolist(), pa.float64()), "predicted": (ones.tolist(), pa.int32())})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, held_out boolean, score double, predicted int").withColumnRenamed("id", id_col)
+    return spread(rows).mapInArrow(run, "id long, held_out boolean, score double, predicted int").withColumnRenamed("id", id_col)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fit_rows: int = FIT_ROWS) -> DataFrame:
