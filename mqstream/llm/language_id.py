@@ -13,7 +13,9 @@ Three kinds of evidence meet in one posterior over the stated languages and "und
 A document is accepted if its most probable language is a stated one with at least ``least`` posterior.
 A null or empty text has no trigrams: its other evidence decides. A text of numbers and signs alone counts
 against the stated languages.
-Null declared languages and hosts count as values of their own. Rows that repeat an id count each.
+Null declared languages and hosts count as values of their own. Rows that repeat an id, and null ids, count each;
+of equally probable languages the first stated one is named. Columns other than text, declared and host are carried,
+whatever their names, but for language, confidence and accepted, which the result replaces.
 
 Memory: models have a fixed size (languages by hash values). Host counts are aggregated before the shuffle
 and joined back as a table, split where a host is hot.
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType
 
-from .common import batch_of, settled, small_batches, texts_of
+from .common import batch_of, fresh, settled, small, small_batches, spread, texts_of
 from .ngrams import SIZE, STEP, trigrams
 
 LANGUAGES = ("en", "fr", "de", "es")
@@ -129,36 +131,41 @@ def carried(batch: pa.RecordBatch, names: list[str], more: dict[str, pa.Array])
     return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *more.values()], names=[*names, *more])
 
 
-def evidence(rows: DataFrame, model: np.ndarray) -> DataFrame:
+def evidence(rows: DataFrame, model: np.ndarray, support: str, says: str) -> DataFrame:
     """rows without their text, with ``support`` and, as if all classes were as likely before, ``says``."""
     others = [c for c in rows.columns if c != "text"]
-    schema = rows.select(*others).schema.add("support", ArrayType(DoubleType())).add("says", ArrayType(DoubleType()))
+    schema = rows.select(*others).schema.add(support, ArrayType(DoubleType())).add(says, ArrayType(DoubleType()))
     kept = pa.list_(pa.float64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = np.asarray([text_support(raw, model) for raw in texts_of(b)]).reshape(b.num_rows, len(model))
-            yield carried(b, others, {"support": pa.array(out.tolist(), kept), "says": pa.array(shares(out).tolist(), kept)})
+            yield carried(b, others, {support: pa.array(out.tolist(), kept), says: pa.array(shares(out).tolist(), kept)})
 
     return rows.select(*others, "text").mapInArrow(run, schema)
 
 
-def declarations(seen: DataFrame, languages: tuple[str, ...]) -> tuple[dict[str, list[float]], list[float]]:
-    """log P(declared | class) for each stated language, NONE and any "other", and each class's share of all texts."""
-    size = len(languages) + 1
-    slots = [*languages, NONE, "other"]
-    slot = F.when(F.col("declared").isin(*slots[:-1]), F.col("declared")).otherwise("other")
-    counts = {r["slot"]: np.asarray(r["n"]) for r in seen.groupBy(slot.alias("slot")).agg(F.array(*(F.sum(F.col("says")[k]) for k in range(size))).alias("n")).collect()}
+def declared_given(counts: dict[str, np.ndarray], languages: tuple[str, ...]) -> tuple[dict[str, list[float]], list[float]]:
+    """log P(declared | class) for each stated language, NONE and any "other", and each class's share of all texts, from
+    the soft counts of the classes by what is declared."""
+    size, slots = len(languages) + 1, [*languages, NONE, "other"]
     table = np.asarray([counts.get(s, np.zeros(size)) for s in slots])
     given = np.log((table + SMOOTH) / (table.sum(axis=0) + SMOOTH * len(slots)))
     whole = (table.sum(axis=0) + SMOOTH) / (table.sum() + SMOOTH * size)
     return dict(zip(slots, given.tolist(), strict=True)), whole.tolist()
 
 
-def host_priors(seen: DataFrame, whole: list[float]) -> DataFrame:
+def declarations(seen: DataFrame, languages: tuple[str, ...], says: str) -> tuple[dict[str, list[float]], list[float]]:
+    size = len(languages) + 1
+    slot = F.when(F.col("declared").isin(*languages, NONE), F.col("declared")).otherwise("other")
+    sums = seen.groupBy(slot.alias("slot")).agg(F.array(*(F.sum(F.col(says)[k]) for k in range(size))).alias("n")).collect()  # at most one row for each slot
+    return declared_given({r["slot"]: np.asarray(r["n"]) for r in sums}, languages)
+
+
+def host_priors(seen: DataFrame, whole: list[float], says: str) -> DataFrame:
     """(of_host, held, prior): a host's soft counts, and what its suffix, smoothed towards the whole, leads to expect."""
     size = len(whole)
-    hosts = settled(seen.groupBy("host").agg(*(F.sum(F.col("says")[k]).alias(f"n{k}") for k in range(size))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
+    hosts = settled(seen.groupBy("host").agg(*(F.sum(F.col(says)[k]).alias(f"n{k}") for k in range(size))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
     by_suffix = hosts.groupBy("suffix").agg(*(F.sum(f"n{k}").alias(f"s{k}") for k in range(size)))
     total = sum((F.col(f"s{k}") for k in range(1, size)), F.col("s0")) + SUFFIX_WEIGHT
     prior = F.array(*((F.col(f"s{k}") + SUFFIX_WEIGHT * whole[k]) / total for k in range(size)))
@@ -166,24 +173,32 @@ def host_priors(seen: DataFrame, whole: list[float]) -> DataFrame:
     return settled(hosts.join(smoothed, "suffix").select(F.col("host").alias("of_host"), F.array(*(F.col(f"n{k}") for k in range(size))).alias("held"), "prior"), "host-priors")
 
 
+def posteriors(support: np.ndarray, says: np.ndarray, held: np.ndarray, prior: np.ndarray, declared: np.ndarray) -> np.ndarray:
+    """P(class | all evidence) of rows: their texts' support, what they declare, and their hosts' other documents."""
+    rest = np.maximum(held - says, 0.0)
+    host = (rest + HOST_WEIGHT * prior) / (rest.sum(axis=1, keepdims=True) + HOST_WEIGHT)
+    return shares(support + declared + np.log(host))
+
+
 def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = LEAST) -> DataFrame:
     """rows(text, declared, host, ...) without text and host, with language, confidence and accepted."""
     small_batches(rows.sparkSession)
     classes = [*languages, UND]
-    rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
+    rows = spread(rows).withColumn("host", F.coalesce("host", F.lit(""))).drop("language", "confidence", "accepted")
     others = [c for c in rows.columns if c not in ("text", "host")]
-    seen = settled(evidence(rows, train(rows, languages)), "evidence")
-    given, whole = declarations(seen, languages)
-    hosts = host_priors(seen, whole)
-    joined = seen.join(hosts, seen["host"] == hosts["of_host"]).select(*others, "support", "says", "held", "prior")
+    support, says, of_host, held, prior = fresh(rows.columns, "support", "says", "of_host", "held", "prior")
+    seen = settled(evidence(rows, train(rows, languages), support, says), "evidence")
+    given, whole = declarations(seen, languages, says)
+    hosts = host_priors(seen, whole, says).select(F.col("of_host").alias(of_host), F.col("held").alias(held), F.col("prior").alias(prior))
+    hosts = small(hosts, 64 + 16 * len(classes) + F.octet_length(of_host))
+    joined = seen.join(hosts, F.col("host") == F.col(of_host)).select(*others, support, says, held, prior)
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            support, says, held, prior = (np.asarray(b.column(b.schema.get_field_index(c)).to_pylist()).reshape(b.num_rows, len(classes)) for c in ("support", "says", "held", "prior"))
-            rest = np.maximum(held - says, 0.0)  # the host's other documents
-            host = (rest + HOST_WEIGHT * prior) / (rest.sum(axis=1, keepdims=True) + HOST_WEIGHT)
-            declared = np.asarray([given.get(d, given["other"]) for d in b.column(b.schema.get_field_index("declared")).to_pylist()]).reshape(support.shape)
-            posterior = shares(support + declared + np.log(host))
+            column = lambda c: b.column(b.schema.get_field_index(c)).to_pylist()  # noqa: B023, E731
+            of_text, of_row, of_held, of_prior = (np.asarray(column(c)).reshape(b.num_rows, len(classes)) for c in (support, says, held, prior))
+            declared = np.asarray([given.get(d, given["other"]) for d in column("declared")]).reshape(of_text.shape)
+            posterior = posteriors(of_text, of_row, of_held, of_prior, declared)
             best = posterior.argmax(axis=1)
             sure = posterior[np.arange(len(best)), best]
             named = [classes[k] for k in best]
@@ -193,9 +208,10 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: flo
     return joined.mapInArrow(fuse, schema)
 
 
-def of_documents(docs: DataFrame) -> DataFrame:
-    """Documents declare their lang; their source stands for the host."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", declared_language(F.col("lang")).alias("declared"), F.concat(F.lit("source:"), F.coalesce("source", F.lit(""))).alias("host"))
+def of_documents(docs: DataFrame, *more: Column) -> DataFrame:
+    """Documents declare their lang; their source stands for the host. ``more`` columns are carried."""
+    host = F.concat(F.lit("source:"), F.coalesce("source", F.lit("")))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", declared_language(F.col("lang")).alias("declared"), host.alias("host"), *more)
 
 
 def of_pages(pages: DataFrame) -> DataFrame:
