@@ -2,33 +2,41 @@
 
 A vector is coded as the sum of one codeword from each of LEVELS codebooks of full dimension. The codebooks
 are fitted level by level on the residuals of a bounded sample (about FIT_ROWS vectors chosen by hash); codes
-are found by beam search of width BEAM. Each vector's squared norm is stored, so that lookup tables of
-query-by-codeword products score inner products directly and Euclidean distances with the norm, and so is the
-length of what its code leaves over, which bounds how far a score by tables can be off. All codes are scored for
-every query, a block of queries against a block of codes at a time; blocks come to the tasks as packed rows.
-
-No fixed number of candidates decides what is found. The best ``shortlist`` codes of a block are scored exactly
-first; the best of these set a bar, and every vector of the block whose score by tables plus its bound reaches the
-bar is scored exactly, however many they are (a large group of nearly equal vectors, which no code tells apart, is
-scored whole, by matrix products). So each block gives its best by exact scores; they are merged and ranked.
-
-Equal vectors are one candidate; after ranking it stands for its k + 1 smallest ids, which is exact. Vectors that are null, zero, hold a null or non-finite
-component, or have another length than most vectors, take no part. Of rows that repeat an id one counts.
+are found by beam search of width BEAM. With its code a vector stores its norm and the length of what the code
+leaves over. Lookup tables of query-by-codeword products score inner products directly, and Euclidean distances
+with the norm; the rest's length bounds how far such a score can be off.
+
+Codes stay where they are, in partitions sorted by their first word, which is a coarse quantiser. Queries come
+to them: a bounded block of queries, as one broadcast, and every task keeps a running list of the best for each.
+A query's bar is the exact score of the ``keep``-th best it has; it starts at that of the fitting sample, which
+is part of the table. Cells whose vectors cannot reach the bar (product with the first word, plus the radius of
+the cell; or the largest stored norm) are passed over; of the others every vector whose score by tables plus its
+bound reaches the bar is scored exactly, however many they are (a large group of nearly equal vectors, which no
+code tells apart, is scored whole, by matrix products). So no fixed number of candidates decides what is found, and
+a task gives back only what reaches the bar; these are merged and ranked.
+
+Equal vectors are one candidate; after ranking it stands for its k + 1 smallest ids, which is exact. Vectors that
+are null, zero, or hold a null or non-finite component take no part. Vectors of different lengths have no inner
+product: each length, of at most MOST_LENGTHS, is a search of its own. Of rows that repeat an id one counts. Ties
+go to the smaller id. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, settled, small_batches
+from .common import batch_of, saved, settled, small_batches
 
 LEVELS, WORDS, BEAM, FIT_ROWS = 24, 256, 4, 16384
-QUERY_BLOCK, CODE_BLOCK, SHORTLIST = 256, 16384, 320
+#: Queries whose tables are held at once, codes scored at once, and bytes of queries that are broadcast at once.
+QUERY_BLOCK, CODE_BLOCK, QUERY_BYTES = 256, 8192, 8 << 20
+MOST_LENGTHS = 64
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -89,22 +97,6 @@ def errors_of(x: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np.ndarray
     return np.sqrt((rest**2).sum(1)) * (1 + 1e-9) + rounding
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best columns of each row, best first, equal scores by smaller id; ids ascend."""
-    if scores.shape[1] > keep:
-        # The keep-th best score; columns above it stay, and of those equal to it the smallest ids.
-        bar = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1 : keep]
-        above, level = scores > bar, scores == bar
-        room = keep - above.sum(1, keepdims=True)
-        take = above | (level & (np.cumsum(level, axis=1) <= room))
-        at = np.nonzero(take)[1].reshape(len(scores), keep)
-        scores, ids = np.take_along_axis(scores, at, 1), ids[at]
-    else:
-        ids = np.broadcast_to(ids, scores.shape)
-    order = np.argsort(-scores, axis=1, kind="stable")
-    return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
-
-
 def score_block(queries: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np.ndarray:
     """Approximate inner products [queries, codes] by lookup tables."""
     tables = np.einsum("qd,mwd->mwq", queries, books, optimize=True).astype(np.float32)
@@ -114,26 +106,57 @@ def score_block(queries: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np
     return np.ascontiguousarray(out.T)
 
 
-def best_of_block(queries: np.ndarray, x: np.ndarray, codes: np.ndarray, errors: np.ndarray, books: np.ndarray, ids: np.ndarray, keep: int, shortlist: int, halves: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The ``keep`` best vectors x of a block for each query by exact inner product, less ``halves`` if given, as ``best_of``.
-    Scores by tables choose which vectors are scored exactly, and leave out none that could be among the best."""
-    asked, x = queries.astype(np.float64), x.astype(np.float64)
-    minus = 0.0 if halves is None else halves
-    near = score_block(queries, codes, books) - minus
-    bars = np.full(len(asked), -np.inf)
-    if len(x) > keep:
-        first = np.argpartition(-near, min(max(shortlist, keep), len(x)) - 1, axis=1)[:, : max(shortlist, keep)]
-        for r, at in enumerate(first):
-            exact = x[at] @ asked[r] - (0.0 if halves is None else halves[at])
-            bars[r] = np.partition(exact, len(at) - keep)[len(at) - keep]
-    # What rounding may lose in the exact scores and in a sum with the halves.
-    spare = 1e-9 * (np.abs(bars) + 1)
-    lengths = np.sqrt((asked**2).sum(1))
-    reach = near + lengths[:, None] * errors >= np.where(np.isfinite(bars), bars - spare, bars)[:, None]
-    some = np.flatnonzero(reach.any(0))
-    exact = asked @ x[some].T - (0.0 if halves is None else halves[some])
-    exact[~reach[:, some]] = -np.inf
-    return best_of(exact, ids[some], keep)
+def spared(bars: np.ndarray) -> np.ndarray:
+    """Bars lowered by what rounding may lose in exact scores and in a sum with halves of norms."""
+    return np.where(np.isfinite(bars), bars - 1e-9 * (np.abs(bars) + 1), bars)
+
+
+class Running:
+    """The best of what a block of queries has met so far, and each query's bar."""
+
+    def __init__(self, queries: np.ndarray, bars: np.ndarray, keep: int):
+        self.queries, self.keep, self.bars = queries.astype(np.float64), keep, bars.copy()
+        self.lengths = np.sqrt((self.queries**2).sum(1))
+        self.rows, self.scores, self.ids = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+
+    def take(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Merge found (query row, score, id); the best ``keep`` of each query stay, equal scores by smaller id."""
+        rows, scores, ids = np.concatenate([self.rows, rows]), np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
+        order = np.lexsort((ids, -scores, rows))
+        rows, scores, ids = rows[order], scores[order], ids[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        full = rank == self.keep - 1
+        self.bars[rows[full]] = np.maximum(self.bars[rows[full]], scores[full])
+        stay = rank < self.keep
+        self.rows, self.scores, self.ids = rows[stay], scores[stay], ids[stay]
+
+    def meet(self, x: np.ndarray, codes: np.ndarray, norms: np.ndarray, errors: np.ndarray, ids: np.ndarray, books: np.ndarray, euclidean: bool) -> None:
+        """Search vectors of one cell: those that start with the same word. A Euclidean score is the product less half the
+        squared norm, which ranks the vectors for a query as distances do."""
+        halves = 0.5 * norms if euclidean else np.zeros(len(x))
+        x = x.astype(np.float64)
+        word = books[0][codes[0, 0]].astype(np.float64)
+        radius = np.sqrt(((x - word) ** 2).sum(1).max()) * (1 + 1e-9)
+        most = np.minimum(self.queries @ word + self.lengths * radius, self.lengths * np.sqrt(norms.max()) * (1 + 1e-9)) - halves.min()
+        asked = np.flatnonzero(most >= spared(self.bars))
+        if not len(asked):
+            return
+        near = score_block(self.queries[asked].astype(np.float32), codes, books) - halves
+        bound = np.minimum(near + self.lengths[asked, None] * errors, self.lengths[asked, None] * np.sqrt(norms) * (1 + 1e-9) - halves)
+        # The best by tables first: they raise the bars for the others.
+        first = min(self.keep, len(x))
+        top = np.argpartition(-near, first - 1, axis=1)[:, :first]
+        exact = np.einsum("qkd,qd->qk", x[top], self.queries[asked]) - halves[top]
+        bars = self.bars[asked]
+        if first == self.keep:
+            bars = np.maximum(bars, exact.min(1))
+        reach = bound >= spared(bars)[:, None]
+        some = np.flatnonzero(reach.any(0))
+        if not len(some):
+            return
+        exact = self.queries[asked] @ x[some].T - halves[some]
+        hit, at = np.nonzero(reach[:, some] & (exact >= spared(bars)[:, None]))
+        self.take(asked[hit], exact[hit, at], ids[some[at]])
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -141,100 +164,119 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     bad = F.exists(vector_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(~bad & F.exists(vector_col, lambda x: x != 0))
     rows = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("v"))
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (sizes["d"] if sizes else 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float32).reshape(len(column), -1)
 
 
-def nearest(reps: DataFrame, queries: DataFrame, books: np.ndarray, keep: int, shortlist: int, measure: str) -> DataFrame:
-    """(query, candidates array), the ``keep`` best of all candidates (rep, v) for queries (query, v)."""
+def coded_vectors(reps: DataFrame, books: np.ndarray) -> DataFrame:
+    """(rep, cell, code, norm, error, x), sorted by cell within each partition: written once, and read in place."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = np.uint8 if books.shape[1] <= 256 else np.uint16
         for b in batches:
             x = matrix(b.column(1))
             codes = encode(x, books)
             norms = (x.astype(np.float64) ** 2).sum(1)
-            yield batch_of({"rep": (b.column(0).to_pylist(), pa.int64()), "block": (b.column(2).to_pylist(), pa.int64()), "code": ([c.tobytes() for c in codes.astype(np.uint8 if books.shape[1] <= 256 else np.uint16)], pa.binary()), "norm": (norms.tolist(), pa.float64()), "error": (errors_of(x, codes, books).tolist(), pa.float64()), "x": ([v.tobytes() for v in x], pa.binary())})
-
-    n_codes, n_queries = reps.count(), queries.count()
-    code_blocks, query_blocks = max(1, -(-n_codes // CODE_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
-    # Coding is the work here, so it is dealt to all cores however few files the vectors are in.
-    dealt = reps.repartition(max(code_blocks, reps.sparkSession.sparkContext.defaultParallelism), "rep")
-    coded = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(code_blocks)).cast("long")).mapInArrow(pack, "rep long, block long, code binary, norm double, error double, x binary")
-    codes = coded.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("rep", "code", "norm", "error", "x"))).alias("codes"))
-    asked = queries.groupBy(F.pmod(F.xxhash64("query"), F.lit(query_blocks)).alias("asked")).agg(F.collect_list(F.struct("query", "v")).alias("queries"))
-    # A row for each pair of blocks; the queries are a stated set and meet all codes.
-    pairs = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(code_blocks - 1).cast("long")))).join(codes, "block").repartition("asked", "block")
+            yield batch_of({"rep": (b.column(0).to_pylist(), pa.int64()), "cell": (codes[:, 0].tolist(), pa.int32()), "code": ([c.tobytes() for c in codes.astype(kind)], pa.binary()), "norm": (norms.tolist(), pa.float64()), "error": (errors_of(x, codes, books).tolist(), pa.float64()), "x": ([v.tobytes() for v in x], pa.binary())})
+
+    # Coding and scoring are the work here, so they are dealt to all cores however few files the vectors are in.
+    tasks = max(reps.sparkSession.sparkContext.defaultParallelism, -(-reps.count() // (16 * CODE_BLOCK)))
+    coded = reps.repartition(tasks, "rep").mapInArrow(pack, "rep long, cell int, code binary, norm double, error double, x binary")
+    return saved(coded.sortWithinPartitions("cell", "rep"), "coded")
+
+
+def nearest(coded: DataFrame, asked: pa.Table, sample: np.ndarray, books: np.ndarray, keep: int, measure: str) -> DataFrame:
+    """(query, rep, score): for each of the queries (query, v) at least the ``keep`` best of all vectors, by exact scores."""
+    names, queries = asked["query"].to_numpy(), matrix(asked["v"].combine_chunks())
+    euclidean = measure == "euclidean"
+    bars = np.full(len(names), -np.inf)
+    known = sample.astype(np.float64)
+    halves = 0.5 * (known**2).sum(1) if euclidean else 0.0
+    for k in range(0, len(names), QUERY_BLOCK):
+        if len(known) >= keep:
+            scores = queries[k : k + QUERY_BLOCK].astype(np.float64) @ known.T - halves
+            bars[k : k + QUERY_BLOCK] = np.partition(scores, len(known) - keep, axis=1)[:, len(known) - keep]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                q, c = b.column(1)[k].values, b.column(2)[k].values
-                names, of = np.asarray(c.field("rep")), np.frombuffer(b"".join(c.field("code").to_pylist()), np.uint8 if books.shape[1] <= 256 else np.uint16).reshape(len(c), -1)
-                x = np.frombuffer(b"".join(c.field("x").to_pylist()), np.float32).reshape(len(c), -1)
-                halves = 0.5 * np.asarray(c.field("norm")) if measure == "euclidean" else None
-                s, ids = best_of_block(matrix(q.field("v")), x, of, np.asarray(c.field("error")), books, names, keep, shortlist, halves)
-                yield batch_of({"asked": ([b.column(0)[k].as_py()], pa.int64()), "query": ([np.asarray(q.field("query")).tobytes()], pa.binary()), "score": ([s.astype(np.float64).tobytes()], pa.binary()), "rep": ([ids.astype(np.int64).tobytes()], pa.binary())})
-
-    found = pairs.select("asked", "queries", "codes").mapInArrow(search, "asked long, query binary, score binary, rep binary")
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_block, held = None, (np.empty(0), np.empty(0), np.empty(0))
-
-        def done() -> pa.RecordBatch:
-            asked, _, ids = held
-            return batch_of({"query": (asked.tolist(), pa.int64()), "candidates": (ids.tolist(), pa.list_(pa.int64()))})
-
-        for b in batches:
-            for row in b.to_pylist():
-                q = np.frombuffer(row["query"], np.int64)
-                s, ids = np.frombuffer(row["score"], np.float64).reshape(len(q), -1), np.frombuffer(row["rep"], np.int64).reshape(len(q), -1)
-                if row["asked"] != open_block:
-                    if open_block is not None:
-                        yield done()
-                    open_block, held = row["asked"], (q, s, ids)
-                else:
-                    s, ids = np.hstack([held[1], s]), np.hstack([held[2], ids])
-                    order = np.lexsort((ids, -s), axis=1)[:, :keep]
-                    held = (q, np.take_along_axis(s, order, 1), np.take_along_axis(ids, order, 1))
-        if open_block is not None:
-            yield done()
-
-    return found.repartition("asked").sortWithinPartitions("asked").mapInArrow(merge, "query long, candidates array<long>")
-
-
-def search(vectors: DataFrame, every: int = 20, k: int = 20, shortlist: int = SHORTLIST, id_col: str = "vec_id", vector_col: str = "embedding", measure: str = "inner") -> DataFrame:
+        blocks = [Running(queries[k : k + QUERY_BLOCK], bars[k : k + QUERY_BLOCK], keep) for k in range(0, len(names), QUERY_BLOCK)]
+        kind = np.uint8 if books.shape[1] <= 256 else np.uint16
+        for b in in_blocks(batches, CODE_BLOCK):
+            ids, cells = b["rep"].to_numpy(), b["cell"].to_numpy()
+            codes = np.frombuffer(b"".join(b["code"].to_pylist()), kind).reshape(len(ids), -1)
+            x = np.frombuffer(b"".join(b["x"].to_pylist()), np.float32).reshape(len(ids), -1)
+            norms, errors = b["norm"].to_numpy(), b["error"].to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                for block in blocks:
+                    block.meet(x[low:high], codes[low:high], norms[low:high], errors[low:high], ids[low:high], books, euclidean)
+        for k, block in enumerate(blocks):
+            of = names[k * QUERY_BLOCK + block.rows]
+            yield batch_of({"query": (of.tolist(), pa.int64()), "rep": (block.ids.tolist(), pa.int64()), "score": (block.scores.tolist(), pa.float64())})
+
+    return coded.mapInArrow(search, "query long, rep long, score double")
+
+
+def in_blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(h.num_rows for h in held) >= rows:
+            yield pa.Table.from_batches(held)
+            held = []
+    if any(h.num_rows for h in held):
+        yield pa.Table.from_batches(held)
+
+
+def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", measure: str = "inner", query_bytes: int = QUERY_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest other rows. Queries are ids divisible by ``every``; the score
     is the inner product, or minus the Euclidean distance."""
     spark = vectors.sparkSession
     small_batches(spark)
-    rows = settled(usable(vectors, id_col, vector_col), "vectors")
+    rows = settled(usable(vectors, id_col, vector_col).withColumn("d", F.size("v")), "vectors")
+    lengths = [r["d"] for r in rows.select("d").distinct().orderBy("d").limit(MOST_LENGTHS + 1).collect()]
+    if len(lengths) > MOST_LENGTHS:
+        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    found = [search_one(rows.where(F.col("d") == d).select("vec_id", "v"), every, k, measure, max(1, query_bytes // (4 * d))) for d in lengths]
+    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def search_one(rows: DataFrame, every: int, k: int, measure: str, at_once: int) -> DataFrame:
+    """The search among vectors of one length, ``at_once`` queries (about) at a time."""
     reps = settled(rows.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("held")).select("rep", "v", "held"), "distinct")
     copies = reps.where("held > 1").select(F.col("v").alias("_v"), F.col("rep").alias("_rep"))
     first = Window.partitionBy("rep").orderBy("vec_id")
     members = rows.join(copies, F.col("v") == F.col("_v"), "left").select(F.coalesce("_rep", "vec_id").alias("rep"), "vec_id")
     members = settled(members.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select("rep", "vec_id"), "members")
-    total = reps.count()
-    share = min(1.0, FIT_ROWS / max(1, total))
+    share = min(1.0, FIT_ROWS / max(1, reps.count()))
     sample = reps.where(F.pmod(F.xxhash64(F.lit(9), "rep"), F.lit(1 << 20)) < int(share * (1 << 20))).select("rep", "v").orderBy("rep").toArrow()  # about FIT_ROWS rows
-    if not sample.num_rows:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    books = fit(matrix(sample["v"].combine_chunks()))
+    if not sample.num_rows:  # a chance of a tiny table
+        sample = reps.select("rep", "v").orderBy("rep").limit(1).toArrow()
+    known = matrix(sample["v"].combine_chunks())
+    books = fit(known)
+    coded = coded_vectors(reps.select("rep", "v"), books)
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query"), "v")
-    # Twice as many as are asked for: the rest are for scores that differ by rounding only.
-    lists = settled(nearest(reps.select("rep", "v"), asked, books, 2 * (k + 1), shortlist + 1, measure), "nearest")
-    pairs = lists.select("query", F.explode("candidates").alias("rep"))
+    turns = max(1, -(-asked.count() // at_once))
+    lists = []
+    for turn in range(turns):
+        block = asked.where(F.pmod(F.xxhash64(F.lit(13), "query"), F.lit(turns)) == turn).orderBy("query").toArrow()  # about at_once rows
+        if block.num_rows:
+            # Twice as many as are asked for: the rest are for scores that differ by rounding only.
+            lists.append(settled(nearest(coded, block, known, books, 2 * (k + 1), measure), "nearest"))
+    if not lists:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    near = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
+    pairs = reduce(DataFrame.union, lists).withColumn("n", F.row_number().over(near)).where(F.col("n") <= 2 * (k + 1)).select("query", "rep")
     joined = pairs.join(reps.select("rep", F.col("v").alias("c")), "rep").join(asked.withColumnRenamed("v", "q"), "query")
     term = (lambda a, b: a.cast("double") * b.cast("double")) if measure == "inner" else (lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
     exact = F.aggregate(F.zip_with("q", "c", term), F.lit(0.0), lambda a, x: a + x)
     scored = joined.select("query", "rep", (exact if measure == "inner" else -F.sqrt(exact)).alias("score"))
     top = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    near = scored.withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).select("query", "rep", "score")
+    best = scored.withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1).select("query", "rep", "score")
     rank = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    out = near.join(members, "rep").where("vec_id <> query").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+    out = best.join(members, "rep").where("vec_id <> query").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
     return out.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
 
 
