@@ -7,13 +7,16 @@ for all items at once by an Aho-Corasick automaton, miss nothing. Around each hi
 Myers' bit-parallel distance against the text's best substring.
 
 The items are taken in blocks of at most ``block_bytes``, each block's automaton going to the tasks of one
-pass over the documents, so a benchmark of any size is handled; a usual one is a single block. Items that
-are null or without words match nothing, and neither do null or empty texts. Repeated rows match each.
+pass over the documents, so a benchmark of any size is handled; a usual one is a single block. A Python worker
+builds a block's automaton once. Items that are null or without words match nothing, and neither do null or empty
+texts. Repeated rows match each, and so do rows whose id is null; a null item_id is reported as null. Of equally near
+places of an item in a text the first is given. Columns other than ids and texts are ignored; ``clean`` keeps them.
 """
 
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, small_batches, texts_of
+from .common import batch_of, small_batches, spread, texts_of
 
 RATE, BLOCK_BYTES = 0.05, 16 << 20
 SPACED = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256)).lower()
@@ -117,6 +120,17 @@ class Matcher:
         return out
 
 
+MATCHERS: dict[tuple, Matcher] = {}
+
+
+def matcher(name: str, items: list[tuple[int, str]], rate: float) -> Matcher:
+    """The matcher of a block, built once in a Python worker; it holds one at a time."""
+    if (name, rate) not in MATCHERS:
+        MATCHERS.clear()
+        MATCHERS[name, rate] = Matcher(items, rate)
+    return MATCHERS[name, rate]
+
+
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
     """Normalised items, a bounded block at a time."""
     block, held = [], 0
@@ -140,14 +154,33 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str
     names = [x.split()[0] for x in schema.split(", ")]
 
     def search(items: list[tuple[int, str]]) -> DataFrame:
+        name = uuid.uuid4().hex
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(items, rate)
+            find = matcher(name, items, rate).find
             for b in batches:
-                found = [(d, *hit) for d, raw in zip(b.column(0).to_pylist(), texts_of(b), strict=True) for hit in matcher.find(normal(raw))]
+                found = [(d, *hit) for d, raw in zip(b.column(0).to_pylist(), texts_of(b), strict=True) for hit in find(normal(raw))]
                 columns = list(zip(*found, strict=True)) or [()] * len(names)
                 yield batch_of({n: (list(c), pa.int64()) for n, c in zip(names, columns, strict=True)})
 
-        return rows.mapInArrow(run, schema)
+        return spread(rows).mapInArrow(run, schema)
 
     parts = [search(block) for block in blocks_of(benchmark, item_col, text_col, block_bytes)]
     return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], schema)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text", item_col: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows, with all columns, whose texts hold no item: one pass for each block of items, without a shuffle."""
+    small_batches(docs.sparkSession)
+
+    def without(rows: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
+        name = uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            find = matcher(name, items, rate).find
+            for b in batches:
+                yield b.filter(pa.array([not find(normal(raw)) for raw in texts_of(b, text_col)], pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return reduce(without, blocks_of(benchmark, item_col, text_col, block_bytes), spread(docs))
