@@ -20,7 +20,8 @@ Candidates are confirmed on the full shingle sets (64-bit hashes of all shingles
 
 Shingles are ``words`` consecutive words, lower-cased A-Z; a shorter text is one shingle; a null or empty
 one has none and is linked with nothing. A row without an id is linked with nothing and is kept. Rows with
-one id are one document, linked through any of its texts. Extra columns are ignored.
+one id are one document, linked through any of its texts. Extra columns are ignored. ``one_of_each`` decides by
+rows instead: of the rows of a group one stays, whatever their ids.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, kept, settled, small, small_batches, texts_of
+from .common import batch_of, fresh, kept, settled, small, small_batches, spread, texts_of
 from .components import components
 
 WORDS, PERCENT, BANDS, ROWS = 2, 80, 12, 4
@@ -107,7 +108,7 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int, id_col: str,
             })
 
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "doc long, n long, digest binary, left array<long>, right array<long>")
+    return spread(source).mapInArrow(run, "doc long, n long, digest binary, left array<long>, right array<long>")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -208,10 +209,10 @@ def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: st
     best = settled(votes.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre")), "best")
     candidates = settled(tables.select("doc").distinct(), "candidates")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(small(candidates), "doc", "left_semi")
-    texts = kept(texts)
+    held = [texts := kept(texts)]
     stars = best.join(texts, "doc").select(F.col("doc").alias("u"), F.col("centre").alias("v"), F.col("text").alias("u_text"))
     stars = stars.join(texts.select(F.col("doc").alias("v"), F.col("text").alias("v_text")), "v")
-    first = kept(confirm_pairs(stars, words, percent))
+    held.append(first := kept(confirm_pairs(stars, words, percent)))
     # What still meets across components.
     comps = components(first).withColumnRenamed("node", "doc")
     families = components(best.select(F.col("doc").alias("u"), F.col("centre").alias("v"))).select(F.col("node").alias("doc"), F.col("comp").alias("family"))
@@ -225,10 +226,12 @@ def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: st
     other = met.select(*TABLE, F.col("block").alias("to"), F.col("only").alias("to_only"))
     pairs = met.join(other, TABLE).where((F.col("block") <= F.col("to")) & ~F.coalesce(F.col("only") == F.col("to_only"), F.lit(False)))
     pairs = settled(pairs.select("block", "to").distinct(), "pairs")
-    contents = kept(home.join(texts, "doc").groupBy("block").agg(F.collect_list(F.struct("doc", "comp", "text")).alias("xs")))
+    held.append(contents := kept(home.join(texts, "doc").groupBy("block").agg(F.collect_list(F.struct("doc", "comp", "text")).alias("xs"))))
     rows = pairs.join(contents, "block").join(contents.select(F.col("block").alias("to"), F.col("xs").alias("ys")), "to")
-    second = kept(confirm_blocks(rows, words, percent))
-    return first.union(second)
+    found = settled(first.union(confirm_blocks(rows, words, percent)), "links")
+    for table in held:
+        table.unpersist()
+    return found
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,3 +253,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"), F.col("rep").alias("class_id"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near duplicates: that with the smallest id (a null one is the largest), and of
+    equal rows one. Texts without words all stay.
+
+    Texts are told apart by a 64-bit hash. What goes is a narrow table of ids and hashes that is joined to the rows; only
+    rows that stay and are repeated in id and text are gathered by key, and they combine before the shuffle."""
+    doc, key, of, at, goes = fresh(docs.columns, "_doc", "_key", "_of", "_at", "_goes")
+    keyed = docs.withColumns({doc: F.col(id_col).cast("long"), key: F.xxhash64(text_col)})
+    found = near_duplicates(keyed, words, percent, bands, rows, key, text_col)
+    comps = found.where("n_shingles > 0").groupBy(F.col(key).alias("key")).agg(F.min("component_id").alias("comp"))
+    held = keyed.groupBy(F.col(doc).alias("doc"), F.col(key).alias("key")).agg(F.count("*").alias("held"))
+    members = settled(held.join(settled(comps, "comps"), "key"), "members")
+    order = F.struct(F.col("doc").isNull(), F.col("doc"), F.col("key"))
+    groups = members.groupBy("comp").agg(F.min(order).alias("first"), F.sum("held").alias("held")).where("held > 1").select("comp", "first")
+    marks = members.join(small(settled(groups, "groups"), 48), "comp").select(F.col("doc").alias(of), F.col("key").alias(at), (order != F.col("first")).alias(goes), "held")
+    marks = settled(marks.where(F.col(goes) | (F.col("held") > 1)).drop("held"), "marks")
+    marked = keyed.join(small(marks, 32), F.col(doc).eqNullSafe(F.col(of)) & (F.col(key) == F.col(at)), "left")
+    out = marked.where(F.col(goes).isNull()).select(docs.columns)
+    if marks.where(~F.col(goes)).isEmpty():
+        return out
+    return out.union(marked.where(~F.col(goes)).dropDuplicates([doc, key]).select(docs.columns))
