@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet to the
 shared folder and rereads it as the next stage's documents. All stages but the last return the columns of
-documents. Stages keep rows whose id is null.
+documents. Stages decide by rows: a row with a null or repeated id goes or stays for what it holds itself.
 """
 
 from __future__ import annotations
@@ -17,15 +17,14 @@ from mqstream.llm.queries import tokenizer_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the ids."""
-    return docs.join(small(settled(ids.select("doc_id").distinct(), "dropped")), "doc_id", "left_anti").select(COLUMNS)
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no stated language, or not surely in one, go."""
-    found = language_id.identify(language_id.of_documents(docs))
-    return without(docs, found.where(~F.col("accepted")))
+    """Documents in no stated language, or not surely in one, go. The verdict follows from a row's text, language and source,
+    so 128 bits of their hashes tell which rows it is on."""
+    said = [F.coalesce(c, F.lit("")) for c in ("text", "lang", "source")]
+    keys = [F.xxhash64(*said).alias("k1"), F.xxhash64(F.lit(1), *said).alias("k2")]
+    found = language_id.identify(language_id.of_documents(docs, *keys))
+    gone = settled(found.where(~F.col("accepted")).select("k1", "k2").distinct(), "rejected")
+    return docs.select("*", *keys).join(small(gone), ["k1", "k2"], "left_anti").select(COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +33,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
-    return without(docs, near_dedup.near_duplicates(docs, words=5).where(~F.col("kept")))
+    """One document of each group of near duplicates stays: five-word shingles, as set for stages, similarity 0.8."""
+    return near_dedup.one_of_each(docs, words=5).select(COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
