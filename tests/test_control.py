@@ -1,5 +1,8 @@
 """Control algorithms with a clock in hand."""
 
+import random
+from dataclasses import replace
+
 import pytest
 
 from mqstream.operators.admission import UNLIMITED, Limits, ReadLimit, fits, min_positive
@@ -7,88 +10,137 @@ from mqstream.streaming import memory
 from mqstream.streaming.broker import Message
 from mqstream.streaming.errors import NotFoundError, RetryPolicy, fatal, retryable
 from mqstream.streaming.gather import Gather
-from mqstream.streaming.pacing import SECOND, IntakePace, Phase, ReceiveTuner, Tail, agreed_gap, named_second, rate, whole_second
-
+from mqstream.streaming.pacing import RESERVE_RULES, SECOND, Cycle, Pace, Phase, ReceiveTuner, agreed_gap, finished, named_second, observed, probed, rate, tail_reserve, whole_second
 
-class Clock:
-    def __init__(self):
-        self.now = SECOND
 
-    def __call__(self):
-        return self.now
+MINUTE = 60 * SECOND
 
 
-def probed(gaps, **kw):
-    clock = Clock()
-    tuner = ReceiveTuner(clock=clock, **kw)
-    tuner.probing()
+def learned(*gaps, hint=None):
+    """The pace after empty cycles with these gaps."""
+    pace = Pace.start(None, "batch")
     for g in gaps:
-        clock.now += g
-        tuner.probing()
-    return clock, tuner
-
-
-def test_two_gaps_of_a_minute_start_the_warmup():
-    _, t = probed([60 * SECOND, 60 * SECOND])
-    assert (t.phase, t.budget, t.receive, t.write) == (Phase.WARMUP, 60 * SECOND, 30 * SECOND, 29 * SECOND)
+        pace = probed(pace, g, hint)
+    return pace
 
 
-def test_a_partial_first_gap_is_outvoted():
-    _, t = probed([20 * SECOND, 60 * SECOND])
-    assert t.budget == 60 * SECOND
-    _, t = probed([50 * SECOND, 60 * SECOND])
-    assert t.phase is Phase.PROBE
+def after(pace, *cycles):
+    for c in cycles:
+        pace = finished(pace, c)
+    return pace
 
 
-def test_a_hint_ends_the_probe_at_the_first_gap():
-    _, t = probed([42 * SECOND], processing_ms=30_000)
-    assert t.budget == 30 * SECOND
+def ended(pace, work, commit=None, length=None, messages=10):
+    """A cycle that receives for its window and then works."""
+    commit = work if commit is None else commit
+    return Cycle(max(pace.interval, pace.receive + work) if length is None else length, pace.receive, commit, messages)
 
 
-def test_noise_means_no_trigger():
-    _, t = probed([SECOND // 10] * 3)
-    assert t.phase is Phase.ZERO and t.window() == SECOND
+@pytest.mark.parametrize("gaps, hint, want", [
+    ((MINUTE, MINUTE), None, (Phase.WARMUP, MINUTE, 30 * SECOND, 29 * SECOND)),
+    ((20 * SECOND, MINUTE), None, (Phase.WARMUP, MINUTE, 30 * SECOND, 29 * SECOND)),  # a partial first gap
+    ((50 * SECOND, MINUTE), None, (Phase.PROBE, 0, 0, 0)),
+    ((50 * SECOND, MINUTE, 59 * SECOND), None, (Phase.WARMUP, 59 * SECOND, 59 * SECOND // 2, 59 * SECOND - 59 * SECOND // 2 - SECOND)),
+    ((5 * SECOND, 9 * SECOND), None, (Phase.PROBE, 0, 0, 0)),
+    ((42 * SECOND,), 30 * SECOND, (Phase.WARMUP, 30 * SECOND, 15 * SECOND, 14 * SECOND)),
+    ((SECOND // 10,) * 2, None, (Phase.PROBE, 0, 0, 0)),
+    ((SECOND // 10,) * 3, None, (Phase.ZERO, 0, SECOND, 0)),
+])
+def test_gaps_tell_the_interval(gaps, hint, want):
+    p = learned(*gaps, hint=hint)
+    assert (p.phase, p.interval, p.receive, p.reserve) == want
 
 
-def test_fixed_windows():
+def test_windows():
     assert ReceiveTuner(receive_ms=5000).window() == 5 * SECOND
     assert ReceiveTuner(gather_mode="immediate").window() == SECOND
     assert ReceiveTuner(receive_ms=5000).window(2 * SECOND) == 2 * SECOND
-
-
-def cycle(clock, tuner, receive, commit, total, messages=10):
-    start = clock.now
-    clock.now += receive
-    tuner.gathered(receive, messages)
-    clock.now += commit
-    tuner.committed()
-    clock.now = start + total
-    tuner.probing()
-
-
-def test_spare_idle_lets_the_window_climb():
-    clock, t = probed([60 * SECOND, 60 * SECOND])
-    cycle(clock, t, 0, 0, 60 * SECOND, 0)
-    before = t.receive
-    cycle(clock, t, t.receive, SECOND // 2, 60 * SECOND)
-    assert t.phase is Phase.CRUISE
-    assert before < t.receive <= 60 * SECOND - t.write
-
-
-def test_a_late_cycle_widens_the_write_budget_and_cuts_the_window():
-    clock, t = probed([60 * SECOND, 60 * SECOND])
-    cycle(clock, t, 0, 0, 60 * SECOND, 0)
-    receive, write = t.receive, t.write
-    cycle(clock, t, receive, 35 * SECOND, 75 * SECOND)
-    assert t.write == write + 15 * SECOND
-    assert t.receive == max(15 * SECOND, 60 * SECOND - t.write)
-
-
-def test_a_short_estimate_probes_again_once():
-    clock, t = probed([20 * SECOND, 20 * SECOND])
-    cycle(clock, t, 0, 0, 20 * SECOND, 0)
-    cycle(clock, t, 10 * SECOND, SECOND, 60 * SECOND)
-    assert t.phase is Phase.PROBE and t.budget == 0
+    assert Pace.start(None, "batch").window() == SECOND
+    assert [p.lease_ms() for p in (Pace.start(None, "batch"), learned(MINUTE, MINUTE), learned(15 * SECOND, 15 * SECOND))] == [180_000, 180_000, 60_000]
+
+
+def test_unused_time_lets_the_window_climb():
+    p = learned(MINUTE, MINUTE)
+    q = after(p, ended(p, SECOND // 2))
+    assert q.phase is Phase.CRUISE and p.receive < q.receive <= MINUTE - q.reserve
+    # A quarter of what was unused, down to the top quarter; then three hundredths of the interval.
+    assert q.receive - p.receive == (MINUTE - p.receive - SECOND // 2) // 4 == p.reserve - q.reserve
+    high = after(q, *[ended(q, SECOND // 2)] * 20)
+    assert high.receive >= 45 * SECOND and after(high, ended(high, SECOND // 2)).receive - high.receive <= MINUTE * 3 // 100
+
+
+def test_a_late_cycle_sets_more_aside():
+    p = learned(MINUTE, MINUTE)
+    q = after(p, ended(p, 45 * SECOND, 35 * SECOND))
+    assert q.reserve == p.reserve + 15 * SECOND and q.receive == MINUTE - q.reserve and q.tails == ()
+
+
+def test_tails_are_remembered_once_receiving_is_high():
+    p = replace(learned(MINUTE, MINUTE), receive=50 * SECOND, reserve=9 * SECOND)
+    q = after(p, ended(p, 20 * SECOND, SECOND))
+    assert q.tails == (20 * SECOND,) and q.reserve == p.reserve + MINUTE * 3 // 100 and q.receive == MINUTE - q.reserve
+    for _ in range(12):
+        q = after(q, ended(replace(q, receive=50 * SECOND), 20 * SECOND, SECOND))
+    assert len(q.tails) == 8 and q.receive >= 15 * SECOND
+
+
+def test_a_doubtful_interval_is_probed_again_once():
+    p = learned(20 * SECOND, 20 * SECOND)
+    q = after(p, Cycle(MINUTE, 10 * SECOND, SECOND, 5))
+    assert q.phase is Phase.PROBE and q.interval == 0
+    p = probed(probed(q, 20 * SECOND), 20 * SECOND)
+    assert after(p, Cycle(MINUTE, 10 * SECOND, SECOND, 5)).phase is Phase.CRUISE
+    p = learned(MINUTE, MINUTE)
+    assert after(p, Cycle(3 * MINUTE, 10 * SECOND, SECOND, 5)).phase is Phase.CRUISE  # long enough not to be doubted
+
+
+def test_lengths_teach_the_interval():
+    p = learned(20 * SECOND, 20 * SECOND)
+    q = after(p, Cycle(45 * SECOND))
+    assert (q.interval, q.stretched) == (45 * SECOND, True) and after(q, Cycle(90 * SECOND)).interval == 45 * SECOND
+    p = learned(MINUTE, MINUTE)
+    steady = [Cycle(62 * SECOND + k * SECOND // 20) for k in (-2, -1, 0, 1, 2, 1, 0, -1)]
+    once = after(p, *steady)
+    assert (once.interval, once.candidate) == (MINUTE, 62 * SECOND)
+    twice = after(once, *steady)
+    assert twice.interval == 62 * SECOND and twice.certain and after(twice, *[Cycle(70 * SECOND)] * 16).interval == 62 * SECOND
+    assert after(once, *steady[:7], Cycle(63 * SECOND), *steady).certain is False
+
+
+def test_every_cycle_keeps_the_bounds():
+    draw = random.Random(2)
+    for _ in range(300):
+        p = learned(*[draw.choice([12, 30, 60, 300]) * SECOND] * 2)
+        for _ in range(30):
+            cycle = ended(p, draw.randrange(2 * p.interval), messages=draw.choice([0, 9])) if draw.random() < 0.8 else Cycle(draw.randrange(1, 3 * p.interval))
+            p = finished(p, cycle)
+            if p.phase is Phase.PROBE:
+                break
+            assert 0 <= p.receive <= p.interval and len(p.tails) <= 8 and len(p.lengths) < 8
+            assert cycle.commit is None or cycle.receive <= 0 or p.receive >= p.interval // 4
+    assert RESERVE_RULES[-1][0](None)
+
+
+def test_the_tuner_keeps_the_time():
+    now = [SECOND]
+    t = ReceiveTuner(clock=lambda: now[0])
+    asked = []
+    for _ in range(3):
+        asked.append(t.probing())
+        now[0] += MINUTE
+    assert asked == [True, True, False] and t.pace == learned(MINUTE, MINUTE)
+    want, begun = t.pace, None
+    for work in (0, 3, 40, 2):
+        if begun is not None:
+            want = finished(want, Cycle(now[0] - begun, *last))
+        assert t.probing() is False and t.pace == want
+        begun = now[0]
+        now[0] += t.window()
+        t.gathered(t.window(), 7)
+        now[0] += SECOND
+        t.committed()
+        last = (now[0] - SECOND - begun, SECOND, 7)
+        now[0] = max(begun + MINUTE, now[0] + work * SECOND)
 
 
 def test_whole_and_named_seconds():
@@ -97,29 +149,24 @@ def test_whole_and_named_seconds():
     assert named_second(60 * SECOND + SECOND // 2) is None
 
 
-def test_gap_agreement_rates_and_tail():
-    assert agreed_gap([60, 58]) == 58 and agreed_gap([30, 60]) == 60 and agreed_gap([50, 60]) is None
+def test_gap_agreement_rates_and_tails():
+    assert agreed_gap((60, 58)) == 58 and agreed_gap((30, 60)) == 60 and agreed_gap((50, 60)) is None and agreed_gap((60,)) is None
     assert rate(10, 2 * SECOND) == 5 and rate(0, SECOND) == 0 and rate(5, 0) == 0
-    tail = Tail()
-    assert tail.median() == -1
-    for x in (SECOND, 3 * SECOND):
-        tail.add(x)
-    assert tail.reserve() == 3 * SECOND
+    assert tail_reserve((SECOND,)) == SECOND and tail_reserve((SECOND, 3 * SECOND)) == 3 * SECOND and tail_reserve((0, 60 * SECOND, 2 * SECOND)) == 4 * SECOND
 
 
-def test_lease_follows_the_interval():
-    assert ReceiveTuner().lease_ms() == 180_000
-    assert probed([60 * SECOND] * 2)[1].lease_ms() == 180_000
-    assert probed([15 * SECOND] * 2)[1].lease_ms() == 60_000
+def test_intake_is_judged_by_the_hour():
+    def told(*seen):
+        hour, said = None, []
+        for at, age, interval in seen:
+            hour, warning = observed(hour, at, age, interval)
+            said.append(warning and warning.split(":")[0])
+        return said
 
-
-def test_intake_pace_speaks_once_an_hour():
-    p = IntakePace()
-    assert p.observe(0, 1000, 500) is None
-    assert p.observe(1000, 9000, 500) is None
-    assert "rose" in p.observe(3_600_000, 2000, 500)
-    assert "stayed above" in p.observe(7_200_000, 1500, 500)
-    assert p.observe(10_800_000, 400, 500) is None
+    hour = 3_600_000
+    assert told((0, 1000, 500), (1000, 9000, 500), (hour, 2000, 500), (2 * hour, 1500, 500), (3 * hour, 400, 500)) == [None, None, "falling behind", "lagging", None]
+    assert told((0, 1000, 500), (1000, 500, 500), (hour, 900, 500)) == [None] * 3  # once it kept up
+    assert told((0, 1000, 0), (hour, 1000, 0)) == [None, None]  # no interval is known
 
 
 def test_budget_walk():
@@ -231,6 +278,15 @@ def test_drain_ends_at_the_limit():
         q.gather().run(Limits(), 1, limit_ms=2000)
 
 
+def test_a_failed_gather_gives_everything_back():
+    q = Queue([some(3)])
+    polls = iter([lambda: q.polls.pop(0), lambda: 1 // 0])
+    g = Gather(lambda wait, count: next(polls)(), q.back.extend, lambda: q.now)
+    with pytest.raises(ZeroDivisionError):
+        g.run(Limits(), 5000)
+    assert len(q.back) == 3
+
+
 def test_an_abandoned_gather_gives_everything_back():
     q = Queue([some(3), some(2)])
     stops = iter([False, True])
