@@ -30,19 +30,28 @@ def written_batch(spark: SparkSession, checkpoint: str) -> int | None:
 
 def settle(spark: SparkSession, options: Options, checkpoint: str) -> int | None:
     """Acknowledge every batch that the sink has: the engine commits a batch to its source only when the next one is
-    planned, so the last one would come again."""
+    planned, so the last one would come again. What the ended reader still holds goes back; other readers keep theirs."""
     batch = written_batch(spark, checkpoint)
     if batch is not None:
         broker = Broker(options.queue)
         broker.settle(options.subscription, batch)
-        broker.abandon(options.subscription, batch)
+        if owner := broker.owner_of(options.subscription, batch):
+            broker.abandon(options.subscription, owner, batch)
         broker.close()
     return batch
 
 
+def ran_dry(options: Options) -> bool:
+    broker = Broker(options.queue)
+    try:
+        return broker.idle(options.subscription)
+    finally:
+        broker.close()
+
+
 def drain(spark: SparkSession, options: dict[str, str], checkpoint: str, sink: Callable[[DataFrame, int], None], schema: T.StructType | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df, mode: str = "append") -> int:
     """Read until the queue is idle or limitTime is reached; the number of runs that read something. A run with the
-    available-now trigger makes one batch, so runs repeat while they make progress."""
+    available-now trigger makes one batch, so runs repeat until one has found the queue dry or reads nothing."""
     given = {**options, "drain": "true"}
     runs, last = 0, written_batch(spark, checkpoint)
     while True:
@@ -53,4 +62,6 @@ def drain(spark: SparkSession, options: dict[str, str], checkpoint: str, sink: C
         if batch is None or batch == last:
             return runs
         runs, last = runs + 1, batch
+        if ran_dry(Options.of(given)):
+            return runs
         given.pop("seek", None)  # a seek is for the first run

@@ -1,4 +1,6 @@
-"""Which messages form a micro-batch: three ways of gathering over an injected poll."""
+"""Which messages form a micro-batch: three ways of gathering over an injected poll.
+
+A gather that fails or is stopped gives back what it has taken."""
 
 from __future__ import annotations
 
@@ -19,6 +21,7 @@ class Gathered:
     given_back: list[Message] = field(default_factory=list)
     size: int = 0
     limit_reached: bool = False
+    ran_dry: bool = False
 
 
 class Gather:
@@ -52,19 +55,24 @@ class Gather:
         return True
 
     def run(self, limits: Limits, window_ms: int, mode: str = "batch", limit_ms: int | None = None) -> Gathered:
-        if limits.drain:
-            return self.until_idle(limits, limit_ms)
-        if limit_ms is not None:
+        if limit_ms is not None and not limits.drain:
             raise RuntimeError("limitTime is for draining reads only")
-        if mode == "immediate" and limits.min_rows <= 0:
-            out = Gathered()
-            self._take(out, self.poll(min(window_ms, IMMEDIATE_MS), self._room(out, limits)), limits)
-            return out
-        return self.until_deadline(limits, window_ms, limits.min_rows if mode == "immediate" else 0)
+        out = Gathered()
+        try:
+            if limits.drain:
+                self.until_idle(out, limits, limit_ms)
+            elif mode == "immediate" and limits.min_rows <= 0:
+                self._take(out, self.poll(min(window_ms, IMMEDIATE_MS), self._room(out, limits)), limits)
+            else:
+                self.until_deadline(out, limits, window_ms, limits.min_rows if mode == "immediate" else 0)
+        except BaseException:
+            self.give_back(out.messages)
+            raise
+        return out
 
-    def until_deadline(self, limits: Limits, window_ms: int, min_rows: int = 0) -> Gathered:
+    def until_deadline(self, out: Gathered, limits: Limits, window_ms: int, min_rows: int = 0) -> None:
         """Until the window ends, a cap is reached, or the queue has run dry; an immediate gather also ends with min_rows."""
-        out, deadline = Gathered(), self.clock_ms() + window_ms
+        deadline = self.clock_ms() + window_ms
         while not self._abandoned(out):
             left = deadline - self.clock_ms()
             if left <= 0 or limits.reached(len(out.messages), out.size) or (min_rows and len(out.messages) >= min_rows):
@@ -82,16 +90,18 @@ class Gather:
             if not polled and not min_rows:
                 break
             self._take(out, polled, limits)
-        return out
 
-    def until_idle(self, limits: Limits, limit_ms: int | None = None) -> Gathered:
+    def until_idle(self, out: Gathered, limits: Limits, limit_ms: int | None = None) -> None:
         """A drain: until three polls in a row are empty, a cap is reached, or a message at or past the limit shows up."""
-        out, empty = Gathered(), 0
-        while empty < IDLE_POLLS and not self._abandoned(out):
+        empty = 0
+        while not self._abandoned(out):
             if limits.reached(len(out.messages), out.size) or (self.hot() and out.messages):
                 break
             polled = self.poll(DRAIN_MS, self._room(out, limits))
             empty = 0 if polled else empty + 1
+            if empty == IDLE_POLLS:
+                out.ran_dry = True
+                break
             if limit_ms is not None and (past := [m for m in polled if m.publish_ms >= limit_ms]):
                 self.give_back(past)
                 out.given_back += past
@@ -100,4 +110,3 @@ class Gather:
             self._take(out, polled, limits)
             if out.limit_reached:
                 break
-        return out

@@ -1,61 +1,93 @@
 """The message queue as a Spark data source, format "mq".
 
-The source gives the raw envelope; views decode it downstream, where Catalyst prunes what is not used. The
-reader runs in a process of its own and is built more than once, so nothing is opened before the first
-offset is asked for, and all state that must outlive it is in the queue's file.
+The driver's reader handles what names messages, never their bodies: it leases, gathers and makes batches, and a
+partition is a part of a batch in the queue, which the task reads itself. So the queue's file is to be where all
+tasks can open it. The reader runs in a process of its own and is built more than once, so nothing is opened before
+the first offset is asked for, and all state that must outlive it is in the queue.
+
+``format("mq")`` gives the columns of the options' schema mode, or of a schema given, decoded in Python. ``read_stream``
+and ``read_batch`` take the raw envelope from it and decode downstream, where Catalyst prunes what is not used; they are
+the faster way.
 """
 
 from __future__ import annotations
 
+import json
 import logging
+import sqlite3
 import time
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from ..functions.payload import Decoder
 from ..operators.admission import Limits, ReadLimit, min_positive
 from ..operators.envelope import metadata_view, of_schema, table_view
 from ..operators.metrics import as_strings
 from ..sources.options import Options
-from ..sources.schema import RAW, envelope_name, registered_schema, table_schema
+from ..sources.schema import RAW, envelope_name, metadata_schema, registered_schema, table_schema
 from . import memory
 from .broker import Broker, Message
 from .errors import RetryPolicy
 from .gather import Gather, Gathered
-from .pacing import IntakePace, ReceiveTuner
+from .pacing import Intake, ReceiveTuner, observed
 
+R = TypeVar("R")
 FORMAT = "mq"
 LOG = logging.getLogger(__name__)
 
 
 class Slice(InputPartition):
-    """A share of a batch, with its messages."""
+    """Part ``part`` of ``parts`` of a reader's batches (after, to]."""
 
-    def __init__(self, messages: list[Message]):
+    def __init__(self, owner: str, after: int, to: int, part: int, parts: int):
         super().__init__(None)
-        self.messages = messages
+        self.owner, self.after, self.to, self.part, self.parts = owner, after, to, part, parts
 
 
-def sliced(messages: list[Message], writers: int) -> list[Slice]:
-    """Message i goes to slice i modulo min(writers, n); an empty batch is one empty slice."""
-    n = min(writers, len(messages))
-    return [Slice(messages[k::n]) for k in range(n)] if n else [Slice([])]
+class Range(InputPartition):
+    """The waiting messages with seqs in [low, high]."""
 
+    def __init__(self, low: int, high: int):
+        super().__init__(None)
+        self.low, self.high = low, high
+
+
+def sliced(owner: str, after: int, to: int, count: int, writers: int) -> list[Slice]:
+    """min(writers, count) parts; no messages are one empty part."""
+    parts = max(1, min(writers, count))
+    return [Slice(owner, after, to, k, parts) for k in range(parts)]
 
-def rows_of(messages: list[Message], names: list[str]) -> Iterator[tuple]:
-    for m in messages:
-        row = {"body": m.body, "messageid": m.messageid, "publishtime": datetime.fromtimestamp(m.publish_ms / 1000, UTC), "orderingkey": m.orderingkey, "ackid": m.messageid, "attributes": m.attributes}
-        yield tuple(row[n] for n in names)
 
+class Rows:
+    """Messages of the queue as rows of a schema: envelope columns in Arrow batches; with payload columns, decoded rows."""
 
-def envelope_names(schema: T.StructType) -> list[str]:
-    names = [envelope_name(f.name) for f in schema.fields]
-    if None in names:
-        raise ValueError("payload columns are decoded by read_stream(), not by the source itself")
-    return names
+    def __init__(self, schema: T.StructType):
+        self.fields = [(envelope_name(f.name), f.name, f.dataType) for f in schema.fields]
+        payload = [(name, kind) for known, name, kind in self.fields if known is None]
+        self.decoder = Decoder(payload) if payload else None
+
+    def __call__(self, parts: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch | tuple]:
+        for rows in parts:
+            ids, bodies, marks, times, keys = zip(*rows, strict=True)
+            if self.decoder is None:
+                columns = {
+                    "body": lambda: pa.array(bodies, pa.binary()), "messageid": lambda: pa.array(ids, pa.string()), "ackid": lambda: pa.array(ids, pa.string()),  # noqa: B023
+                    "publishtime": lambda: pa.array([t * 1000 for t in times], pa.timestamp("us", "UTC")), "orderingkey": lambda: pa.array(keys, pa.string()),  # noqa: B023
+                    "attributes": lambda: pa.array([list(json.loads(m).items()) for m in marks], pa.map_(pa.string(), pa.string())),  # noqa: B023
+                }
+                yield pa.RecordBatch.from_arrays([columns[known]() for known, _, _ in self.fields], names=[name for _, name, _ in self.fields])
+                continue
+            for i, body, mark, ms, key in rows:
+                row = {"body": body, "messageid": i, "publishtime": datetime.fromtimestamp(ms / 1000, UTC), "orderingkey": key, "ackid": i, "attributes": json.loads(mark)}
+                decoded = iter(self.decoder(body))
+                yield tuple(next(decoded) if known is None else row[known] for known, _, _ in self.fields)
 
 
 def started(batch: int | None, produced: int) -> bool:
@@ -65,32 +97,56 @@ def started(batch: int | None, produced: int) -> bool:
 
 class StreamReader(DataSourceStreamReader):
     def __init__(self, options: Options, drain: bool, schema: T.StructType):
-        self.options, self.drain, self.names = options, drain, envelope_names(schema)
+        self.options, self.drain, self.rows = options, drain, Rows(schema)
         self.broker: Broker | None = None
 
     def _open(self) -> Broker:
         if self.broker is None:
             o = self.options
-            self.broker = Broker(o.queue)
+            self.retry, self.retried = RetryPolicy(o.max_retry_ms, warn=LOG.warning), 0
+            self.broker = self._call(lambda: Broker(o.queue))
             self.broker.check(o.subscription)
             if o.seek == "snapshot":
                 self.broker.seek_snapshot(o.subscription, o.seek_snapshot)
             elif o.seek != "none":
                 self.broker.seek(o.subscription, o.seek_ms if o.seek == "timestamp" else 0)
+            self.owner, self.stopped = uuid.uuid4().hex, False
             self.tuner = ReceiveTuner(o.receive_ms, o.gather_mode, o.processing_ms)
             self.budget = memory.Budget.start(o.batch_size, memory.total())
+            self.flow = self.budget.size
             self.produced, self.consumed, self.over = self.broker.next_batch(o.subscription) - 1, None, False
             self.first, self.warned_ms = self.produced, None
-            self.open_batch = False
-            self.retry, self.pace, self.retried = RetryPolicy(o.max_retry_ms, warn=LOG.warning), IntakePace(), 0
+            self.open_batch, self.hour = False, None
             LOG.info(o.summary())
         return self.broker
 
+    def _call(self, call: Callable[[], R]) -> R:
+        """A call to the queue, tried again while the queue is busy."""
+
+        def tried() -> R:
+            try:
+                return call()
+            except sqlite3.OperationalError as e:
+                if "locked" in str(e) or "busy" in str(e):
+                    raise ConnectionError(f"UNAVAILABLE: {e}") from e
+                raise
+
+        return self.retry.run(tried)
+
+    def room(self) -> tuple[int, int]:
+        """(messages, bytes) that may be leased now: twice the flow's bytes and twice batchCount may be outstanding. While
+        nothing waits to become a batch one message always may, however large."""
+        count, size = self.broker.outstanding(self.options.subscription, self.owner)
+        least = int(count == self.broker.count(self.options.subscription, self.owner, -1, self.produced))
+        most = 2 * self.options.batch_count - count if self.options.batch_count else 10_000
+        return max(most, least), max(2 * self.flow - size, least) if self.flow else 2**62
+
     def _poll(self, wait_ms: int, count: int) -> list[Message]:
         until = time.monotonic() + wait_ms / 1000
         while True:
-            found = self.broker.lease(self.options.subscription, min(count, 10_000), self.options.lease_ms())
-            if found or time.monotonic() >= until:
+            most, size = self.room()
+            found = self._call(lambda: self.broker.lease(self.options.subscription, self.owner, min(count, most, 10_000), self.options.lease_ms(), size)) if min(most, size) > 0 else []  # noqa: B023
+            if found or self.stopped or time.monotonic() >= until:
                 return found
             time.sleep(min(0.05, max(0.001, until - time.monotonic())))
 
@@ -102,6 +158,15 @@ class StreamReader(DataSourceStreamReader):
             self.warned_ms = now
         return why is not None
 
+    def retarget(self) -> bool:
+        """Let what may be outstanding follow the memory budget once it has moved; what is held for no batch goes back first."""
+        if self.budget.size == self.flow:
+            return False
+        self.broker.abandon(self.options.subscription, self.owner, self.produced)
+        LOG.debug("outstanding bytes: %s, before %s", 2 * self.budget.size, 2 * self.flow)
+        self.flow = self.budget.size
+        return True
+
     def initialOffset(self) -> dict:
         """Batches that earlier queries made are not this one's; latestOffset may have come first."""
         self._open()
@@ -109,17 +174,18 @@ class StreamReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         broker, o = self._open(), self.options
-        broker.extend(o.subscription, o.lease_ms())
+        self._call(lambda: broker.extend(o.subscription, self.owner, o.lease_ms()))
         if o.ack_mode == "afterCheckpoint" and self.consumed is not None:
-            broker.settle(o.subscription, self.consumed)
-        if self.open_batch or self.over:  # not yet consumed, or nothing more to come
+            self._call(lambda: broker.settle(o.subscription, self.consumed))
+        if self.open_batch or self.over or self.stopped:  # not yet consumed, or nothing more to come
             return {"batchId": self.produced}
         if not self.drain and self.tuner.probing():
             return {"batchId": self.produced}
+        self.retarget()
         limits = Limits.of(o.batch_count, o.batch_size, ReadLimit(o.max_rows, o.max_bytes, o.min_rows), o.receive_ms).with_budget(self.budget.size)
         limits = limits.until_idle() if self.drain else limits
-        kept = (lambda ms: broker.ack(o.subscription, [m.seq for m in ms])) if o.ack_mode == "early" else (lambda _: None)
-        gather = Gather(self._poll, lambda ms: broker.nack(o.subscription, [m.seq for m in ms]), lambda: time.monotonic_ns() // 1_000_000, self._hot, keep=kept)
+        kept = (lambda ms: broker.ack(o.subscription, self.owner, [m.seq for m in ms])) if o.ack_mode == "early" else (lambda _: None)
+        gather = Gather(self._poll, lambda ms: broker.nack(o.subscription, self.owner, [m.seq for m in ms]), lambda: time.monotonic_ns() // 1_000_000, self._hot, lambda: self.stopped, kept)
         began = time.monotonic_ns()
         wait = None if limits.wait_ms is None else limits.wait_ms * 1_000_000
         out = gather.run(limits, self.tuner.window(wait) // 1_000_000, o.gather_mode, o.limit_ms)
@@ -127,8 +193,10 @@ class StreamReader(DataSourceStreamReader):
         used = 100 * memory.resident() // max(1, memory.total())
         self.budget = self.budget.after(memory.Reading(used, memory.available(), out.size))
         self.over = out.limit_reached
+        if self.drain:
+            broker.tell_idle(o.subscription, out.ran_dry)
         if out.messages:
-            self.produced, self.open_batch = self.retry.run(lambda: broker.produce(o.subscription, out.messages)), True
+            self.produced, self.open_batch = self._call(lambda: broker.produce(o.subscription, self.owner, out.messages)), True
             self._tell(out)
         return {"batchId": self.produced}
 
@@ -136,54 +204,77 @@ class StreamReader(DataSourceStreamReader):
         """Note the batch's metrics, and warn when intake falls behind."""
         now, o = self.broker.clock_ms(), self.options
         age = max(0, now - max(m.publish_ms for m in out.messages))
-        values = as_strings(len(out.messages), out.size, age, self.broker.outstanding_bytes(o.subscription), self.produced, self.consumed, self.retry.attempts - self.retried, self.retry.attempts)
+        values = as_strings(len(out.messages), out.size, age, self.broker.outstanding(o.subscription)[1], self.produced, self.consumed, self.retry.attempts - self.retried, self.retry.attempts)
         self.retried = self.retry.attempts
         self.broker.note(o.subscription, self.produced, values)
-        if warning := self.pace.observe(now, age, self.tuner.budget // 1_000_000):
+        self.hour: Intake | None
+        self.hour, warning = observed(self.hour, now, age, self.tuner.pace.interval // 1_000_000)
+        if warning:
             LOG.warning(warning)
 
     def partitions(self, start: dict, end: dict) -> list[Slice]:
-        broker = self._open()
-        broker.resume(self.options.subscription, int(end["batchId"]))
-        self.open_batch, self.consumed = False, int(end["batchId"])
-        return sliced(broker.batch(self.options.subscription, int(start["batchId"]), int(end["batchId"])), self.options.num_writers)
-
-    def read(self, partition: Slice) -> Iterator[tuple]:
-        return rows_of(partition.messages, self.names)
+        """Parts of the batches in the queue. Batches that were planned before a crash are taken over and read as they were."""
+        broker, o, after, to = self._open(), self.options, int(start["batchId"]), int(end["batchId"])
+        broker.resume(o.subscription, to)
+        self._call(lambda: broker.take_over(o.subscription, self.owner, after, to, o.lease_ms()))
+        self.open_batch, self.consumed = False, to
+        return sliced(self.owner, after, to, broker.count(o.subscription, self.owner, after, to), o.num_writers)
+
+    def read(self, partition: Slice) -> Iterator[pa.RecordBatch | tuple]:
+        broker = Broker(self.options.queue, read_only=True)
+        try:
+            yield from self.rows(broker.part_of_batch(self.options.subscription, partition.owner, partition.after, partition.to, partition.part, partition.parts))
+        finally:
+            broker.close()
 
     def commit(self, end: dict) -> None:
         if self.options.ack_mode == "afterCommit":
             broker = self._open()
-            self.retry.run(lambda: broker.settle(self.options.subscription, int(end["batchId"])))
+            self._call(lambda: broker.settle(self.options.subscription, int(end["batchId"])))
         self.tuner.committed()
 
     def stop(self) -> None:
+        """Give back what is held beyond the batches the query has consumed; a gather under way gives back its own."""
         if self.broker is not None:
-            if self.consumed is not None or not self.open_batch:
-                self.broker.abandon(self.options.subscription, self.consumed if self.consumed is not None else self.produced)
+            self.stopped = True
+            self.broker.abandon(self.options.subscription, self.owner, self.produced - 1 if self.open_batch else self.produced)
             self.broker.close()
             self.broker = None
 
 
 class BatchReader(DataSourceReader):
-    """An extension: all messages a subscription has not acknowledged, without leasing them."""
+    """An extension: all messages a subscription has not acknowledged, without leasing them. Bounds are the queue's work,
+    and each task reads a range of it."""
 
     def __init__(self, options: Options, schema: T.StructType):
-        self.options, self.names = options, envelope_names(schema)
+        self.options, self.rows = options, Rows(schema)
 
-    def partitions(self) -> list[Slice]:
+    def _waiting(self, broker: Broker) -> tuple[str, tuple]:
+        o = self.options
+        return broker.waiting(o.subscription, o.seek_ms, o.limit_ms, min_positive(o.batch_count))
+
+    def partitions(self) -> list[Range]:
         broker = Broker(self.options.queue)
         try:
             broker.check(self.options.subscription)
-            found = broker._messages("d.subscription = ? AND d.state <> 'acked'", (self.options.subscription,))
+            return [Range(low, high) for low, high in broker.ranges(*self._waiting(broker), self.options.num_writers)] or [Range(0, -1)]
         finally:
             broker.close()
-        o = self.options
-        found = [m for m in found if (o.seek_ms is None or m.publish_ms >= o.seek_ms) and (o.limit_ms is None or m.publish_ms < o.limit_ms)]
-        return sliced(found[: min_positive(o.batch_count)], o.num_writers)
 
-    def read(self, partition: Slice) -> Iterator[tuple]:
-        return rows_of(partition.messages, self.names)
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch | tuple]:
+        broker = Broker(self.options.queue, read_only=True)
+        try:
+            select, args = self._waiting(broker)
+            yield from self.rows(broker.rows(f"SELECT seq FROM ({select}) WHERE seq BETWEEN ? AND ?", (*args, partition.low, partition.high)))
+        finally:
+            broker.close()
+
+
+def payload_of(options: Options) -> T.StructType | None:
+    """The payload schema that the schema mode asks for."""
+    if options.schema_mode not in ("dynamic", "mixed"):
+        return None
+    return registered_schema(options.topic or options.subscription, options.registry) if options.registry else None
 
 
 class MessageSource(DataSource):
@@ -192,8 +283,12 @@ class MessageSource(DataSource):
         return FORMAT
 
     def schema(self) -> T.StructType:
-        Options.of(self.options)
-        return RAW
+        options = Options.of(self.options)
+        if self.options.get("envelope", "false").lower() == "true":
+            return RAW
+        table = table_schema(options.schema_mode, payload_of(options))
+        nullable = [T.StructField(f.name, f.dataType, f.nullable or envelope_name(f.name) is None) for f in table.fields]
+        return T.StructType([*nullable, *metadata_schema(options.metadata_mode, table).fields])
 
     def streamReader(self, schema: T.StructType) -> StreamReader:
         return StreamReader(Options.of(self.options), self.options.get("drain", "false").lower() == "true", schema)
@@ -209,11 +304,7 @@ def register(spark: SparkSession) -> None:
 def viewed(raw: DataFrame, options: Options, schema: T.StructType | None) -> DataFrame:
     if schema is not None and schema.fields:
         return of_schema(raw, schema)
-    payload = None
-    if options.schema_mode in ("dynamic", "mixed"):
-        if not options.registry:
-            table_schema(options.schema_mode)  # says what is missing
-        payload = registered_schema(options.topic or options.subscription, options.registry)
+    payload = payload_of(options)
     if options.metadata_mode != "none":
         return metadata_view(raw, options.schema_mode, options.metadata_mode, payload)
     return table_view(raw, options.schema_mode, payload)
@@ -224,13 +315,13 @@ def read_stream(spark: SparkSession, options: dict[str, str], schema: T.StructTy
     register(spark)
     if Options.of(options).emulator_host:
         LOG.warning("emulatorHost is ignored: the queue is a local file")
-    return viewed(spark.readStream.format(FORMAT).options(**options).load(), Options.of(options), schema)
+    return viewed(spark.readStream.format(FORMAT).options(**options, envelope="true").load(), Options.of(options), schema)
 
 
 def read_batch(spark: SparkSession, options: dict[str, str], schema: T.StructType | None = None) -> DataFrame:
     """What is in the queue now, as a table."""
     register(spark)
-    return viewed(spark.read.format(FORMAT).options(**options).load(), Options.of(options), schema)
+    return viewed(spark.read.format(FORMAT).options(**options, envelope="true").load(), Options.of(options), schema)
 
 
 def read_metrics(spark: SparkSession, options: dict[str, str]) -> DataFrame:
