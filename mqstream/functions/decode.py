@@ -8,13 +8,17 @@ Everything is built from variant and JSON functions, so unused fields cost nothi
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Numbers of at least this size are epoch milliseconds, smaller ones seconds.
 MILLIS_FROM = 1_000_000_000_000
 INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|z|[+-]\d{2}:\d{2})$"
+#: Names that a path may hold as they are.
+PLAIN_NAME = re.compile(r"[A-Za-z0-9_ .-]+$")
 SUPPORTED = (T.StringType, T.BinaryType, T.BooleanType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.TimestampType, T.DecimalType, T.StructType, T.ArrayType, T.MapType)
 
 
@@ -45,30 +49,43 @@ def payload_variant(text: Column) -> Column:
 class Node:
     """A JSON value: the variant, its JSON text where that is at hand, and its kind."""
 
-    def __init__(self, variant: Column, text: Column | None = None):
+    def __init__(self, variant: Column, text: Column | None = None, kind: Column | None = None):
         self.variant, self.text = variant, text
-        self.kind = F.schema_of_variant(variant)
+        self.kind = F.schema_of_variant(variant) if kind is None else kind
 
-    def field(self, name: str) -> Node:
-        entries = F.when(self.kind.startswith("OBJECT"), F.try_variant_get(self.variant, "$", "map<string,variant>"))
+    def field(self, name: str, text: bool = True) -> Node:
+        """A field by its exact name, which one look into the variant finds; only where that is missing are the names searched
+        for one that is equal in lower case. ``text`` says whether its text is wanted, which is parsed for once more."""
+        entries = F.when(F.schema_of_variant(self.variant).startswith("OBJECT"), F.try_variant_get(self.variant, "$", "map<string,variant>"))
         keys = F.json_object_keys(self.text) if self.text is not None else F.map_keys(entries)
         alike = F.try_element_at(F.filter(keys, lambda k: F.lower(k) == name.lower()), F.lit(1))
-        key = F.when(F.map_contains_key(entries, name), F.lit(name)).otherwise(alike)
-        text = F.call_function("get_json_object", self.text, F.concat(F.lit("$['"), key, F.lit("']"))) if self.text is not None else None
-        return Node(F.try_element_at(entries, key), text)
+        path = f"$['{name}']"
+        exact = F.try_variant_get(self.variant, path, "variant") if PLAIN_NAME.match(name) else F.try_element_at(entries, F.lit(name))
+        found = F.coalesce(exact, F.try_element_at(entries, alike))
+        if self.text is None or not text:
+            return Node(found)
+        key = F.when(exact.isNotNull(), F.lit(name)).otherwise(alike)
+        return Node(found, F.call_function("get_json_object", self.text, F.concat(F.lit("$['"), key, F.lit("']"))))
+
+    def missing(self) -> Column:
+        return self.kind.isNull() | (self.kind == "VOID")
 
     def as_text(self) -> Column:
         return self.text if self.text is not None else self.variant.cast("string")
 
 
+def needs_text(kind: T.DataType) -> bool:
+    """Whether a type shows how its value was written."""
+    return isinstance(kind, (T.StringType, T.BinaryType, T.DecimalType, T.StructType))
+
+
 def numeric(kind: Column) -> Column:
     return kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
 
 
-def wrapped(value: Column, bits: int) -> Column:
-    """The low bits of a whole number as a signed one, as narrowing does."""
-    half = F.lit(str(1 << (bits - 1))).cast("decimal(38,0)")
-    return F.pmod(value.cast("decimal(38,0)") + half, half * 2) - half
+def narrowed(value: Column, bits: int) -> Column:
+    """The low bits of a whole number as a signed one."""
+    return value if bits == 64 else F.shiftright(F.shiftleft(value, 64 - bits), 64 - bits)
 
 
 def whole(node: Node, bits: int) -> Column:
@@ -76,7 +93,7 @@ def whole(node: Node, bits: int) -> Column:
     low, high, name = -(1 << (bits - 1)), (1 << (bits - 1)) - 1, "int" if bits == 32 else "bigint"
     real = F.try_variant_get(node.variant, "$", "double")
     cut = F.when(F.isnan(real), 0).otherwise(F.when(real >= float(high), F.lit(high)).when(real <= float(low), F.lit(low)).otherwise(real.try_cast("bigint")))
-    number = F.when(node.kind == "BIGINT", wrapped(F.try_variant_get(node.variant, "$", "bigint"), bits).cast(name)).otherwise(cut.cast("bigint").try_cast(name))
+    number = F.when(node.kind == "BIGINT", narrowed(F.try_variant_get(node.variant, "$", "bigint"), bits).cast(name)).otherwise(cut.cast("bigint").try_cast(name))
     text = F.trim(node.as_text())
     digits = text.rlike(r"^[+-]?\d+$")
     parsed = F.when(digits, text.try_cast(name)).otherwise(text.try_cast("double").try_cast("bigint").try_cast(name))
@@ -103,7 +120,6 @@ def instant(node: Node) -> Column:
 def decoded(node: Node, kind: T.DataType) -> Column:
     """The value of a node as a column of this type."""
     check(kind)
-    missing = node.kind.isNull() | (node.kind == "VOID")
     container = node.kind.startswith("OBJECT") | node.kind.startswith("ARRAY")
     if isinstance(kind, T.StringType):
         value = node.as_text()
@@ -132,10 +148,35 @@ def decoded(node: Node, kind: T.DataType) -> Column:
         entries = F.transform_values(F.try_variant_get(node.variant, "$", "map<string,variant>"), lambda _, x: decoded(Node(x), kind.valueType))
         empty = F.from_json(F.lit("{}"), kind)
         value = F.when(node.kind.startswith("OBJECT"), entries).otherwise(empty)
-    return F.when(~missing, value)
+    return F.when(~node.missing(), value)
 
 
 def payload_field(body: Column, name: str, kind: T.DataType) -> Column:
     """One top-level field of a payload."""
     text = payload_text(body)
-    return decoded(Node(payload_variant(text), text).field(name), kind)
+    return decoded(Node(payload_variant(text), text).field(name, needs_text(kind)), kind)
+
+
+def payload_fields(df: DataFrame, fields: list[tuple[str, T.DataType]], body: str = "body") -> tuple[DataFrame, list[Column]]:
+    """df with helper columns, and on it one column for each field. The payload is parsed once a row, and each field's value
+    and kind, and those of the fields of records in it, are columns of their own below those that use them, so they are
+    found once however often they are used."""
+    rows = df.withColumn("_text", payload_text(F.col(body))).withColumn("_payload", payload_variant(F.col("_text")))
+    root = Node(F.col("_payload"), F.col("_text"))
+    level = [((k,), root, name, kind) for k, (name, kind) in enumerate(fields)]
+    nodes: dict[tuple[int, ...], Node] = {}
+    while level:
+        found = {"_".join(map(str, path)): of.field(name, needs_text(kind)) for path, of, name, kind in level}
+        rows = rows.withColumns({f"_value{k}": n.variant for k, n in found.items()} | {f"_text{k}": n.text for k, n in found.items() if n.text is not None})
+        rows = rows.withColumns({f"_kind{k}": F.schema_of_variant(f"_value{k}") for k in found})
+        for (path, _, _, _), (k, n) in zip(level, found.items(), strict=True):
+            nodes[path] = Node(F.col(f"_value{k}"), None if n.text is None else F.col(f"_text{k}"), F.col(f"_kind{k}"))
+        level = [((*path, k), nodes[path], f.name, f.dataType) for path, _, _, kind in level if isinstance(kind, T.StructType) for k, f in enumerate(kind.fields)]
+
+    def value(path: tuple[int, ...], kind: T.DataType) -> Column:
+        if not isinstance(kind, T.StructType):
+            return decoded(nodes[path], kind)
+        check(kind)
+        return F.when(~nodes[path].missing(), F.struct(*(value((*path, k), f.dataType).alias(f.name) for k, f in enumerate(kind.fields))))
+
+    return rows, [value((k,), kind) for k, (_, kind) in enumerate(fields)]

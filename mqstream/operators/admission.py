@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
-import pandas as pd
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructField, StructType
 
 UNLIMITED = 2**63 - 1
 
@@ -76,71 +76,90 @@ def least_positive(*columns: Column) -> Column:
     return F.coalesce(F.least(*(F.when(c > 0, c) for c in columns), F.lit(None).cast("bigint")), F.lit(UNLIMITED))
 
 
-def greedy(size_col: str, max_bytes: int, max_rows: int = UNLIMITED, name: str = "batch"):  # noqa: ANN201
-    """The ordered fold behind batches_by_bytes, for one stream of messages in order."""
-
-    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batch, rows, held = 0, 0, 0
-        for pdf in parts:
-            numbers = []
-            for size in pdf[size_col].tolist():
-                if rows >= max_rows or held >= max_bytes:
-                    batch, rows, held = batch + 1, 0, 0
-                rows, held = rows + 1, held + size
-                numbers.append(batch)
-            yield pdf.assign(**{name: numbers})
-
-    return fold
-
-
 def in_order(df: DataFrame, order: str, queue: str | None = None) -> DataFrame:
-    """``at``: the 0-based arrival position, within each queue if one is named. Without a queue the rows are range-partitioned
-    and positions come from the partitions' counts, so no task holds all messages. Counts and positions must see one and the
-    same partitioning, so the partitioned rows are persisted (on disk where memory is short)."""
+    """``at``: the 0-based arrival position, within each queue if one is named. Without a queue the rows are dealt to as many
+    ranges of ``order`` as there are shuffle partitions, at quantiles of it, and positions follow from the ranges' counts, so
+    no task holds all messages. A row's range follows from its value alone, however often the rows are read."""
     if queue:
         return df.withColumn("at", (F.row_number().over(Window.partitionBy(queue).orderBy(order)) - 1).cast("bigint"))
+    placed = ranged(df, order)
+    counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    return after_ranges(placed, counts).withColumn("at", (F.col("_before") + within).cast("bigint")).drop("_range", "_before")
+
+
+def ranged(df: DataFrame, order: str) -> DataFrame:
+    """``_range``: the number of quantiles of ``order`` that are below a row's value."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, F.col(order)).sortWithinPartitions(order)
-    # A generated id is the partition's number above 33 bits of the row's place in it.
-    ranged = ranged.withColumn("_id", F.monotonically_increasing_id()).persist(StorageLevel.MEMORY_AND_DISK)
-    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    starts = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
-    placed = ranged.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    return placed.withColumn("at", F.col("_start") + place).drop("_part", "_id", "_start")
+    marks = df.select(F.percentile_approx(order, [k / parts for k in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else None
+    edges = F.array(*(F.lit(m) for m in sorted(set(marks or [])))) if marks else None
+    return df.withColumn("_range", F.lit(0) if edges is None else F.size(F.filter(edges, lambda m: m < F.col(order))))
+
+
+def after_ranges(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """``_before``: what the ranges before a row's hold, by counts (_range, _n) of at most one row a shuffle partition."""
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return df.join(F.broadcast(counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))), "_range")
 
 
 def batches_by_count(df: DataFrame, order: str, max_rows: int, queue: str | None = None) -> DataFrame:
     return in_order(df, order, queue).withColumn("batch", F.floor(F.col("at") / max_rows).cast("bigint"))
 
 
+class Walk:
+    """Where batches begin in a stream of sizes, given a run at a time: where one ends decides where the next begins, and its
+    end is found by search on the running sums."""
+
+    def __init__(self, max_bytes: int, max_rows: int):
+        self.max_bytes, self.max_rows = min(max_bytes, 1 << 62), min(max_rows, 1 << 62)
+        self.queue, self.batch, self.rows, self.held = None, -1, 0, 0
+
+    def batches(self, queue: object, sizes: np.ndarray) -> np.ndarray:
+        """The batch of each message of a run of one queue."""
+        if self.batch < 0 or queue != self.queue:
+            self.queue, self.batch, self.rows, self.held = queue, 0, 0, 0
+        out, sums, k = np.empty(len(sizes), np.int64), np.cumsum(sizes), 0
+        while k < len(sizes):
+            if self.rows >= self.max_rows or self.held >= self.max_bytes:
+                self.batch, self.rows, self.held = self.batch + 1, 0, 0
+            done = int(sums[k - 1]) if k else 0
+            # One behind the message that fills the batch.
+            full = min(int(np.searchsorted(sums, done + self.max_bytes - self.held)) + 1, k + self.max_rows - self.rows, len(sizes))
+            out[k:full] = self.batch
+            self.rows, self.held, k = self.rows + full - k, self.held + int(sums[full - 1]) - done, full
+        return out
+
+
+def walked(rows: DataFrame, queue: str | None, max_bytes: int, max_rows: int) -> DataFrame:
+    """rows (with bytes), which are in order, with their batch."""
+    names = rows.columns
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = Walk(max_bytes, max_rows)
+        for part in parts:
+            sizes = part.column(names.index("bytes")).to_numpy()
+            of = part.column(names.index(queue)).to_pylist() if queue else [0] * len(sizes)
+            edges = [k for k in range(1, len(of)) if of[k] != of[k - 1]]
+            runs = [walk.batches(of[low], sizes[low:high]) for low, high in zip([0, *edges], [*edges, len(of)], strict=True) if low < high]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.concatenate([np.empty(0, np.int64), *runs]))], names=[*names, "batch"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("batch", LongType())]))
+
+
 def batches_by_bytes(df: DataFrame, order: str, size: Column, max_bytes: int, max_rows: int = UNLIMITED, queue: str | None = None) -> DataFrame:
-    """Batches closed by bytes, or rows, before the next message. Where one batch ends decides where the next begins, so a
-    queue is one ordered stream; several queues run side by side. Messages stream through in Arrow batches, so a task holds
-    one batch of rows and a running sum, not its queue."""
+    """Batches closed by bytes, or rows, before the next message. Queues run side by side, each one ordered stream through one
+    task. Without a queue only the positions and sizes of all messages are walked in one task, as two numbers each; the
+    messages stay distributed and learn their batch from the number of batches begun before them."""
     sized = df.withColumn("bytes", size.cast("bigint"))
-    schema = sized.schema.add("batch", LongType())
-    if queue is None:
-        ordered = sized.repartitionByRange(1, F.col(order)).sortWithinPartitions(order)
-        return ordered.mapInPandas(greedy("bytes", max_bytes, max_rows), schema)
-    ordered = sized.repartition(F.col(queue)).sortWithinPartitions(queue, order)
-
-    def folds(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict = {}
-        for pdf in parts:
-            numbers = []
-            for q, n in zip(pdf[queue].tolist(), pdf["bytes"].tolist(), strict=True):
-                if q not in state:
-                    state = {q: [0, 0, 0]}
-                s = state[q]
-                if s[1] >= max_rows or s[2] >= max_bytes:
-                    s[:] = [s[0] + 1, 0, 0]
-                s[1], s[2] = s[1] + 1, s[2] + n
-                numbers.append(s[0])
-            yield pdf.assign(batch=numbers)
-
-    return ordered.mapInPandas(folds, schema)
+    if queue is not None:
+        return walked(sized.repartition(F.col(queue)).sortWithinPartitions(queue, order), queue, max_bytes, max_rows)
+    placed = in_order(sized, order)
+    numbered = walked(placed.select("at", "bytes").repartitionByRange(1, "at").sortWithinPartitions("at"), None, max_bytes, max_rows)
+    firsts = numbered.groupBy("batch").agg(F.min("at").alias("at")).select("at", F.lit(1).alias("_first"))
+    marked = ranged(placed.join(firsts, "at", "left"), "at")
+    counts = marked.groupBy("_range").agg(F.count("_first").alias("_n"))
+    begun = F.col("_before") + F.count("_first").over(Window.partitionBy("_range").orderBy("at"))
+    return after_ranges(marked, counts).withColumn("batch", (begun - 1).cast("bigint")).drop("_range", "_before", "_first", "at")
 
 
 def slices(df: DataFrame, writers: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.decode import Node, decoded, payload_text, payload_variant
+from ..functions.decode import payload_fields
 from ..sources.schema import METADATA, envelope_name, metadata_schema, table_schema
 
 
@@ -27,12 +27,10 @@ def of_schema(messages: DataFrame, schema: T.StructType, extra: tuple[str, ...]
     """Messages as rows of a schema: envelope names come from the envelope, all others are decoded from the payload,
     which is parsed once and only if a payload field is asked for. ``extra`` keeps further envelope columns."""
     wanted = [(f.name, f.dataType, envelope_name(f.name)) for f in schema.fields]
-    rows = messages
-    node = None
-    if any(known is None for _, _, known in wanted):
-        rows = rows.withColumn("_text", payload_text(F.col("body"))).withColumn("_payload", payload_variant(F.col("_text")))
-        node = Node(F.col("_payload"), F.col("_text"))
-    columns = [(F.col(known) if known else decoded(node.field(name), kind)).alias(name) for name, kind, known in wanted]
+    payload = [(name, kind) for name, kind, known in wanted if known is None]
+    rows, found = payload_fields(messages, payload) if payload else (messages, [])
+    values = iter(found)
+    columns = [(F.col(known) if known else next(values)).alias(name) for name, _, known in wanted]
     return rows.select(*columns, *extra)
 
 

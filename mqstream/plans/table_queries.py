@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import values
-from ..functions.decode import payload_field
+from ..functions.decode import payload_fields
 from ..operators import admission, metrics
 from ..operators.envelope import metadata_view, of_schema, table_view
 from ..sources.avro import struct_of
 from ..streaming.errors import fatal_status, retryable_message
-from ..streaming.pacing import SECOND, SNAP, WINDOW
+from ..streaming.pacing import ROUND, SECOND, SNAP
 from .catalog import events, messages, plain, query
 
 PAYLOAD = struct_of('{"type": "record", "name": "event", "fields": [{"name": "k", "type": "int"}]}')
@@ -89,7 +89,8 @@ def written(spark: SparkSession, sf_dir: str, *parts: str | Column) -> DataFrame
 
 def fields(df: DataFrame, schema: str) -> DataFrame:
     wanted = T._parse_datatype_string(schema)
-    return df.select("event_id", *(payload_field(F.col("body"), f.name, f.dataType).alias(f.name) for f in wanted.fields))
+    rows, found = payload_fields(df, [(f.name, f.dataType) for f in wanted.fields])
+    return rows.select("event_id", *(c.alias(f.name) for f, c in zip(wanted.fields, found, strict=True)))
 
 
 def event_id() -> Column:
@@ -281,9 +282,9 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("tail_reserve", f"""SELECT event_id, (list_sort(l)[(len(l) + 1) // 2] + list_sort(l)[len(l) // 2 + 1]) // 2 AS median, CAST(floor(least(2000000000, round(list_stddev_pop(l))) / 1000000) AS BIGINT) AS spread_ms
-FROM (SELECT event_id, list(nanos) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS l FROM {CYCLES})""")
+FROM (SELECT event_id, list(nanos) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN {ROUND - 1} PRECEDING AND CURRENT ROW) AS l FROM {CYCLES})""")
 def tail_reserve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(1 - WINDOW, 0)
+    last = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(1 - ROUND, 0)
     held = F.array_sort(F.collect_list("nanos").over(last))
     rows = cycles(spark, sf_dir).select("event_id", held.alias("l"), F.stddev_pop("nanos").over(last).alias("s"))
     n = F.size("l")
@@ -350,4 +351,5 @@ def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.to_json(F.struct(F.concat(F.lit("evt-"), i).alias("eventId"), F.concat(F.lit("game-"), i % 4 + 1).alias("gameId"), kind.alias("eventType"), points.alias("points"), (720000 - 1000 * i).alias("clockMillis"), (i % 5 == 0).alias("isFastBreak"), (5.5 + i % 20).alias("shotDistanceFt"), F.concat(F.lit("p-"), i % 12).alias("playerId"), (10 + i % 15).alias("jersey")))
     rows = spark.range(100).select(F.encode(body, "UTF-8").alias("body"))
     wanted = [f for f in T._parse_datatype_string(GAME_FIELDS).fields if f.name in ("eventId", "gameId", "eventType", "points", "clockMillis", "isFastBreak", "shotDistanceFt", "playerId", "jersey")]
-    return rows.select(*(payload_field(F.col("body"), f.name, f.dataType).alias(f.name) for f in wanted))
+    rows, found = payload_fields(rows, [(f.name, f.dataType) for f in wanted])
+    return rows.select(*(c.alias(f.name) for f, c in zip(wanted, found, strict=True)))
