@@ -37,7 +37,7 @@ def table_schema(mode: str, payload: T.StructType | None = None) -> T.StructType
     if mode in TABLE:
         return T.StructType([ENVELOPE[n] for n in TABLE[mode]])
     if payload is None or not payload.fields:
-        raise ValueError(f"schemaMode={mode} requires a topic or user schema")
+        raise ValueError(f"schemaMode={mode}: no payload schema is known; name a topic and a registry, or give a schema")
     if mode == "dynamic":
         return payload
     if mode != "mixed":

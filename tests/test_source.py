@@ -1,22 +1,26 @@
 """Options, schemas, values, the queue and the stream."""
 
 import json
+import random
+import sqlite3
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mqstream.functions import values
-from mqstream.functions.decode import check, payload_field
-from mqstream.operators.admission import batches_by_bytes
+from mqstream.functions.decode import check, payload_field, payload_fields
+from mqstream.functions.payload import Decoder
+from mqstream.operators.admission import UNLIMITED, batches_by_bytes, in_order
 from mqstream.sources.avro import struct_of
 from mqstream.sources.options import Options
-from mqstream.sources.schema import METADATA, metadata_schema, registered_schema, table_schema
-from mqstream.streaming.broker import Broker, Message
+from mqstream.sources.schema import METADATA, RAW, metadata_schema, registered_schema, table_schema
+from mqstream.streaming.broker import LONGEST_LEASE_MS, Broker, Message
 from mqstream.streaming.drain import drain, settle
 from mqstream.streaming.errors import NotFoundError
-from mqstream.streaming.source import read_metrics, read_stream, sliced, started
+from mqstream.streaming.source import StreamReader, read_metrics, read_stream, register, sliced, started
 
 BASE = {"projectId": "p", "subscription": "s"}
 
@@ -61,7 +65,7 @@ def test_schema_modes():
     assert table_schema("slim").names == ["body", "messageid", "publishtime", "orderingkey"]
     assert table_schema("mixed", PAYLOAD).names == ["k", "PublishTime", "messageid"]
     assert table_schema("dynamic", PAYLOAD) == PAYLOAD
-    with pytest.raises(ValueError, match="schemaMode=mixed requires"):
+    with pytest.raises(ValueError, match="schemaMode=mixed"):
         table_schema("mixed")
     for mode in METADATA:
         for table in ("raw", "basic", "slim"):
@@ -115,13 +119,52 @@ def test_byte_batches_on_one_stream(spark):
     assert got == [0, 0, 1, 1, 2, 2, 2, 3]
 
 
-def test_slices_and_offsets():
-    ms = [Message(f"m{k}") for k in range(5)]
-    assert [[m.messageid for m in s.messages] for s in sliced(ms, 2)] == [["m0", "m2", "m4"], ["m1", "m3"]]
-    assert len(sliced(ms, 9)) == 5 and [s.messages for s in sliced([], 3)] == [[]]
+def queue(path, messages, name="s", now=None):
+    b = Broker(str(path / "q.db"), *([lambda: now[0]] if now else []))
+    b.subscribe(name)
+    b.publish(messages)
+    return b
+
+
+def test_byte_batches_by_brute_force(spark):
+    draw = random.Random(4)
+    sizes = [draw.choice([0, 1, 5, 40, 300]) for _ in range(700)]
+    rows = [(2 * k, s, k % 3) for k, s in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "id long, size long, q int").repartition(7)
+
+    def greedy(sizes, most, count):
+        out, batch, n, held = [], 0, 0, 0
+        for s in sizes:
+            if n >= count or held >= most:
+                batch, n, held = batch + 1, 0, 0
+            n, held = n + 1, held + s
+            out.append(batch)
+        return out
+
+    for most, count in ((100, UNLIMITED), (100, 4), (1, UNLIMITED), (UNLIMITED, 9)):
+        got = [r["batch"] for r in batches_by_bytes(df, "id", F.col("size"), most, count).orderBy("id").collect()]
+        assert got == greedy(sizes, most, count)
+        got = {(r["q"], r["id"]): r["batch"] for r in batches_by_bytes(df, "id", F.col("size"), most, count, queue="q").collect()}
+        for q in range(3):
+            mine = [(i, s) for i, s, of in rows if of == q]
+            assert [got[q, i] for i, _ in mine] == greedy([s for _, s in mine], most, count)
+    assert [r["at"] for r in in_order(df, "id").orderBy("id").collect()] == list(range(700))
+
+
+def test_slices_and_offsets(tmp_path):
+    b = queue(tmp_path, [Message(f"m{k}") for k in range(5)])
+    assert b.produce("s", "me", b.lease("s", "me", 5, 1000)) == 0
+    parts = lambda writers: [[r[0] for rows in b.part_of_batch("s", s.owner, s.after, s.to, s.part, s.parts) for r in rows] for s in sliced("me", -1, 0, 5, writers)]
+    assert parts(2) == [["m0", "m2", "m4"], ["m1", "m3"]] and [len(p) for p in parts(9)] == [1] * 5
+    assert len(sliced("me", 0, 0, 0, 3)) == 1
+    assert b.ranges(*b.waiting("s", None, None, 4), 2) == [(1, 2), (3, 4)]
     assert started(3, 3) and started(4, 3) and not started(2, 3) and not started(None, 0)
 
 
+def ids(messages):
+    return [m.messageid for m in messages]
+
+
 def test_broker(tmp_path):
     now = [0]
     b = Broker(str(tmp_path / "q.db"), lambda: now[0])
@@ -130,24 +173,185 @@ def test_broker(tmp_path):
     b.subscribe("s")
     b.publish([Message(f"m{k}", b"x", publish_ms=k * 1000) for k in range(6)])
     b.publish([Message("m0")])  # known already
-    first = b.lease("s", 4, 1000)
-    assert [m.messageid for m in first] == ["m0", "m1", "m2", "m3"] and b.outstanding_bytes("s") == 4
-    b.ack("s", [first[0].seq, 999])
-    b.nack("s", [first[1].seq])
-    assert [m.messageid for m in b.lease("s", 9, 1000)] == ["m1", "m4", "m5"]
+    first = b.lease("s", "a", 4, 1000)
+    assert ids(first) == ["m0", "m1", "m2", "m3"] and b.outstanding("s") == (4, 4)
+    b.ack("s", "a", [first[0].seq, 999])
+    b.nack("s", "b", [first[1].seq])  # not b's
+    assert b.outstanding("s", "a") == (3, 3)
+    b.nack("s", "a", [first[1].seq])
+    assert ids(b.lease("s", "b", 9, 1000)) == ["m1", "m4", "m5"]
     now[0] = 5000
-    assert b.lease("s", 9, 1000)[0].messageid == "m1"  # the leases have run out
-    assert b.produce("s", first[1:3]) == 0 and [m.messageid for m in b.batch("s", -1, 0)] == ["m1", "m2"]
+    held = b.lease("s", "a", 2, 1000)  # the leases have run out
+    assert ids(held) == ["m1", "m2"]
+    assert b.produce("s", "a", held) == 0 and b.count("s", "a", -1, 0) == 2
     b.settle("s", 0)
     b.take_snapshot("s", "snap")
     b.seek("s", 4000)
-    assert [m.messageid for m in b.lease("s", 9, 1000)] == ["m4", "m5"]
+    assert ids(b.lease("s", "a", 9, 1000)) == ["m4", "m5"]
     b.seek_snapshot("s", "snap")
     assert b.counts("s") == {"acked": 3, "ready": 3}
     with pytest.raises(NotFoundError):
         b.seek_snapshot("s", "none")
 
 
+def test_leases_have_owners(tmp_path):
+    now = [0]
+    b = queue(tmp_path, [Message(f"m{k}") for k in range(6)], now=now)
+    b.lease("s", "dead", 3, 1000)
+    b.lease("s", "alive", 2, 1000)
+    now[0] = 900
+    b.extend("s", "alive", 1000)
+    now[0] = 1000
+    b.extend("s", "dead", 1000)  # too late: they have run out
+    assert ids(b.lease("s", "new", 9, 1000)) == ["m0", "m1", "m2", "m5"]
+    b.abandon("s", "new", -1)
+    assert b.outstanding("s", "alive") == (2, 0) and b.counts("s") == {"leased": 2, "ready": 4}
+    while now[0] < LONGEST_LEASE_MS:  # no lease is extended for ever
+        now[0] += 900
+        b.extend("s", "alive", 1000)
+    assert set(ids(b.lease("s", "new", 9, 1000))) == {f"m{k}" for k in range(6)}
+    assert b.produce("s", "alive", [Message("m3", seq=4)]) == 0 and b.count("s", "alive", -1, 0) == 0  # the lease is no longer alive's
+
+
+def test_leases_are_bounded_in_bytes(tmp_path):
+    b = queue(tmp_path, [Message(f"m{k}", b"x" * n) for k, n in enumerate([40, 40, 40, 500, 1])])
+    assert ids(b.lease("s", "a", 9, 1000, 100)) == ["m0", "m1"]
+    assert ids(b.lease("s", "a", 9, 1000, 100)) == ["m2"]
+    assert ids(b.lease("s", "a", 9, 1000, 100)) == ["m3"]  # too large for any bound, so alone
+    assert ids(b.lease("s", "a", 9, 1000, 0)) == ["m4"]
+
+
+def reader(path, **options):
+    r = StreamReader(Options.of(BASE | {"subscription": "projects/x/subscriptions/s", "queue": str(path / "q.db"), "receiveTime": "100ms"} | options), False, RAW)
+    r._open()
+    return r
+
+
+NAME = "projects/x/subscriptions/s"
+
+
+def test_flow_is_bounded_and_follows_the_budget(tmp_path):
+    b = queue(tmp_path, [Message(f"m{k:03}", b"x" * 100) for k in range(60)], NAME)
+    r = reader(tmp_path, batchCount="5")
+    assert r.room()[0] == 10
+    r.budget = replace(r.budget, size=1000)
+    b.lease(NAME, r.owner, 3, 60_000)  # held for no batch
+    assert r.retarget() and r.flow == 1000 and not r.retarget() and b.outstanding(NAME, r.owner) == (0, 0)
+    assert len(r._poll(0, 60)) == 10 and r.room() == (0, 1000) and r._poll(0, 60) == []  # twice batchCount are out
+    b.abandon(NAME, r.owner, -1)
+    r.options = replace(r.options, batch_count=0)
+    assert len(r._poll(0, 60)) == 20 and r._poll(0, 60) == []  # twice the bytes
+    b.produce(NAME, r.owner, [])
+    r.stop()
+
+
+def test_stop_and_failure_give_back(tmp_path):
+    b = queue(tmp_path, [Message(f"m{k}") for k in range(6)], NAME)
+    r = reader(tmp_path, batchCount="4")
+    assert r.latestOffset() == {"batchId": 0} and b.counts(NAME) == {"leased": 4, "ready": 2}
+    r.stop()  # the batch was not planned
+    assert b.counts(NAME) == {"ready": 6}
+    r = reader(tmp_path)
+    r._hot = lambda: (_ for _ in ()).throw(OSError("no /proc"))
+    with pytest.raises(OSError):
+        r.latestOffset()
+    assert b.counts(NAME) == {"ready": 6}
+    r = reader(tmp_path, batchCount="4")
+    polls = r._poll
+    r._poll = lambda wait, count: (polls(wait, 2), setattr(r, "stopped", True))[0]  # stopped while it gathers
+    assert r.latestOffset() == {"batchId": r.produced} and b.counts(NAME) == {"ready": 6}
+
+
+def test_offsets_are_idempotent_and_replay_is_exact(tmp_path):
+    b = queue(tmp_path, [Message(f"m{k}") for k in range(6)], NAME)
+    r = reader(tmp_path, batchCount="3")
+    start = r.initialOffset()
+    end = r.latestOffset()
+    assert r.latestOffset() == end  # not consumed yet
+    held = lambda who, parts: [x[0] for p in parts for rows in b.part_of_batch(NAME, p.owner, p.after, p.to, p.part, p.parts) for x in rows]
+    planned = held(r, r.partitions(start, end))
+    assert planned == ["m0", "m1", "m2"]
+    # The process dies after the offset was logged; the next one is asked for the same batch.
+    again = reader(tmp_path, batchCount="3")
+    assert held(again, again.partitions(start, end)) == planned and b.outstanding(NAME, r.owner) == (0, 0)
+    after = again.latestOffset()
+    again.commit(end)
+    assert held(again, again.partitions(end, after)) == ["m3", "m4", "m5"] and b.counts(NAME) == {"acked": 3, "leased": 3}
+
+
+def test_a_busy_queue_is_tried_again(tmp_path):
+    b = queue(tmp_path, [Message("m0")], NAME)
+    r, calls = reader(tmp_path), []
+    lease = r.broker.lease
+
+    def busy(*args):
+        calls.append(1)
+        if len(calls) < 3:
+            raise sqlite3.OperationalError("database is locked")
+        return lease(*args)
+
+    r.broker.lease = busy
+    assert ids(r._poll(0, 5)) == ["m0"] and r.retry.attempts == 2 and b.counts(NAME) == {"leased": 1}
+
+
+PAYLOADS = [
+    '{"s":"x","b":true,"i":7,"l":9,"d":2.5,"t":"2024-01-15T10:30:00.123456789+01:00","n":3.146,"a":[1,"2",null],"m":{"k":1},"r":{"X":5}}',
+    '{"S":3,"B":"true","I":"7.9","L":"-12","D":"1e3","T":1705312200000,"N":"3.5","A":4,"M":3,"R":{"x":null}}',
+    '{"s":1.50,"b":0,"i":3000000000,"l":1.9e3,"d":"x","t":1705312200,"n":12,"a":{"z":1},"m":{"k":"5","j":{}},"r":7}',
+    '{"s":{"b":1,"a":[1.0,true,null,"é\\"q"]},"b":"yes","i":-1.9,"l":true,"d":false,"t":null,"n":99999999999,"a":[],"m":{},"r":{}}',
+    '{"s":null,"b":[],"i":{"a":1},"l":"x","d":null,"n":-0.005,"S":"other"}', "{}", "", "   ", None, "[1]", "3", '"x"',
+    '{"s":1e20,"i":1e12,"l":1e30,"d":1e400,"n":1e2}', '{"s":true,"i":" 12 ","l":"9223372036854775808","d":" 2 "}',
+]
+FIELDS = "s string, b boolean, i int, l long, d double, t timestamp, n decimal(8,2), a array<int>, m map<string,int>, r struct<x:int>"
+
+
+def test_rows_decode_as_columns_do(spark):
+    schema = T._parse_datatype_string(FIELDS)
+    df = spark.createDataFrame([(k, p.encode() if p is not None else None) for k, p in enumerate(PAYLOADS)], "at int, body binary")
+    rows, columns = payload_fields(df, [(f.name, f.dataType) for f in schema.fields])
+    want = rows.select("at", *(c.alias(f.name) for f, c in zip(schema.fields, columns, strict=True))).orderBy("at").collect()
+    decode = Decoder([(f.name, f.dataType) for f in schema.fields])
+    for p, row in zip(PAYLOADS, want, strict=True):
+        got = dict(zip(schema.names, decode(p.encode() if p is not None else None), strict=True))
+        got["t"] = got["t"] and got["t"].astimezone().replace(tzinfo=None)
+        told = row.asDict(recursive=True)
+        told.pop("at")
+        assert got == told, p
+    for bad, kind in (("{not", T.StringType()), ('{"x":"2024-01-15"}', T.TimestampType()), ('{"x":NaN}', T.DoubleType())):
+        with pytest.raises(ValueError):
+            Decoder([("x", kind)])(bad.encode())
+    with pytest.raises(ValueError):
+        Decoder([("x", T.DateType())])
+
+
+def test_the_format_takes_schema_modes_and_schemas(spark, tmp_path):
+    queue(tmp_path, [Message(f"m{k}", b'{"K": %d, "x": "y"}' % k, {"a": "b"}, 1000 * k, "key") for k in range(4)], "projects/p/subscriptions/s")
+    (tmp_path / "t.avsc").write_text('{"type":"record","name":"r","fields":[{"name":"k","type":"int"}]}')
+    register(spark)
+    load = lambda schema=None, **o: (spark.read.format("mq").schema(schema) if schema else spark.read.format("mq")).options(**BASE, queue=str(tmp_path / "q.db"), **o).load()
+    assert load().columns == ["body", "messageid", "publishtime"] and load(schemaMode="raw").columns == ["body"]
+    assert load(metadataMode="full").columns == ["body", "messageid", "publishtime", "orderingkey", "ackid", "attributes"]
+    df = load(schemaMode="mixed", topic="t", registry=str(tmp_path))
+    assert df.columns == ["k", "messageid", "publishtime"] and sorted(r.k for r in df.collect()) == [0, 1, 2, 3]
+    mine = load("k long, Data binary, MessageId string, absent string", numWriters="3").orderBy("k").collect()
+    assert [(r.k, r.Data, r.MessageId, r.absent) for r in mine] == [(k, b'{"K": %d, "x": "y"}' % k, f"m{k}", None) for k in range(4)]
+    assert [r.messageid for r in load(seek="timestamp", seekTime="1000", limitTime="3000").collect()] == ["m1", "m2"]
+    assert load(batchCount="3").count() == 3
+    with pytest.raises(Exception, match="schema"):
+        load(schemaMode="dynamic").count()
+
+
+def test_a_seek_to_a_snapshot_reads_again(spark, tmp_path):
+    b = queue(tmp_path, [Message(f"m{k}") for k in range(6)], "projects/p/subscriptions/s")
+    name = "projects/p/subscriptions/s"
+    b.ack(name, "x", [m.seq for m in b.lease(name, "x", 2, 60_000)])
+    b.take_snapshot(name, "snap")
+    b.ack(name, "x", [m.seq for m in b.lease(name, "x", 4, 60_000)])
+    seen = []
+    drain(spark, BASE | {"queue": str(tmp_path / "q.db"), "seek": "snapshot", "seekSnapshot": "snap"}, str(tmp_path / "c"), lambda df, _: seen.extend(r.messageid for r in df.collect()))
+    assert sorted(seen) == ["m2", "m3", "m4", "m5"] and b.counts(name) == {"acked": 6}
+
+
 def test_drain_splits_and_settles(spark, tmp_path):
     path = str(tmp_path / "q.db")
     b = Broker(path)
