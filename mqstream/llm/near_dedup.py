@@ -276,3 +276,23 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ban
     if marks.where(~F.col(goes)).isEmpty():
         return out
     return out.union(marked.where(~F.col(goes)).dropDuplicates([doc, key]).select(docs.columns))
+
+
+#: For DuckDB: all links, found through the rarest shingles of a set (a pair of similarity 0.8 shares one of them), and
+#: what they reach.
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0b\x0c\r]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END)) AS s FROM w),
+c AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM g WHERE len(s) > 0 GROUP BY s),
+u AS (SELECT rep, n, unnest(s) AS x FROM c),
+f AS (SELECT x, count(*) AS held FROM u GROUP BY x),
+o AS (SELECT rep, n, x, row_number() OVER (PARTITION BY rep ORDER BY held, x) AS pos FROM u JOIN f USING (x)),
+p AS (SELECT * FROM o WHERE pos <= n - (80 * n + 99) // 100 + 1),
+k AS (SELECT DISTINCT a.rep AS a, b.rep AS b FROM p a JOIN p b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+l AS (SELECT a, b FROM (SELECT k.a, k.b, x.n + y.n AS total, len(list_intersect(x.s, y.s)) AS shared FROM k JOIN c x ON x.rep = k.a JOIN c y ON y.rep = k.b) WHERE 100 * shared >= 80 * (total - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT rep AS a, rep AS b FROM c UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS rep, min(b) AS comp FROM r GROUP BY a)
+SELECT g.doc_id, len(g.s) AS n_shingles, coalesce(m.comp, g.doc_id) AS component_id, coalesce(m.comp, g.doc_id) = g.doc_id AS kept, coalesce(c.rep, g.doc_id) AS class_id
+FROM g LEFT JOIN c ON g.s = c.s LEFT JOIN m ON m.rep = c.rep
+"""

@@ -74,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_near_dedup": near_dedup.SQL,
+    "op4_secret_scan": secret_scan.sql(),
     "op7_ann": ann.SQL,
     "op9_license_scan": license_scan.sql(),
     "op10_line_dedup": line_dedup.SQL,

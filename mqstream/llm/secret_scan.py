@@ -143,3 +143,41 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.sha2(F.concat_ws(",", F.transform(base, as_text)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("spans", as_text)).alias("spans"),
     )
+
+
+def sql() -> str:
+    """The digest for DuckDB: parts by regular expressions, links by joins of intervals. Places are sums of the lengths of
+    what lies between the matches. Case folds for ASCII alone, as in the patterns."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    low = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def found(rank: int, pattern: str, text: str = "t", group: int = 0) -> str:
+        p = quoted(pattern)
+        return f"SELECT doc_id, {rank} AS rank, regexp_extract_all({text}, {p}) AS ms, regexp_extract_all({text}, {p}, {group}) AS own, string_split_regex({text}, {p}) AS gaps FROM d WHERE regexp_matches({text}, {p})"
+
+    assign, weak_id = ASSIGN.pattern.lower(), WEAK_ID.pattern.lower()
+    end = r"""[^\s\x0b\x1c-\x1f\x{85}\p{Z}"'<>]"""
+    parts = [
+        found(0, assign.replace("[a-za-z0-9", "[a-z0-9"), low, 2), found(1, ACCESS.pattern), found(2, HEX.pattern), found(3, weak_id.replace("[a-za-z0-9", "[a-z0-9"), low),
+        found(4, r"[A-Za-z0-9+/=_-]{20,}"), found(5, ENDPOINT.pattern.replace("""[^\\s"'<>]""", end)), found(6, BLANK.pattern),
+    ]
+    kinds = ", ".join(f"({k}, '{name}')" for k, name in enumerate(KINDS))
+    near = "{a}.doc_id = {b}.doc_id AND {a}.scope = {b}.scope AND {a}.s - {b}.e <= 400 AND {b}.s - {a}.e <= 400"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), kind(rank, kind) AS (VALUES {kinds}),
+m AS ({" UNION ALL ".join(parts)}),
+x AS (SELECT doc_id, rank, unnest(ms) AS x, unnest(own) AS own, unnest(list_transform(range(1, len(ms) + 1), lambda i: list_sum(list_transform(gaps[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda y: length(y))), 0)))::BIGINT AS s FROM m),
+b AS (SELECT doc_id, rank, x, s, s + length(x) AS e FROM x WHERE CASE rank WHEN 0 THEN length(own) >= 8 WHEN 1 THEN length(x) >= 16 WHEN 4 THEN regexp_full_match(x, '[A-Za-z0-9+/_-]{{20,}}={{0,2}}')
+  AND regexp_matches(x, '[a-z]') AND regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[0-9]') AND len(list_distinct(string_split(x, ''))) >= least(14, length(x) // 2) ELSE true END),
+p AS (SELECT *, (SELECT count(*) FROM b z WHERE z.doc_id = b.doc_id AND z.rank = 6 AND z.e <= b.s) AS scope FROM b WHERE rank < 6),
+ids AS (SELECT * FROM p WHERE rank IN (1, 3)), strong AS (SELECT * FROM p WHERE rank IN (0, 2)),
+secrets AS (SELECT * FROM strong UNION ALL SELECT * FROM p WHERE rank = 4 AND NOT EXISTS (SELECT 1 FROM p o WHERE o.doc_id = p.doc_id AND o.rank < 4 AND p.s < o.e AND o.s < p.e)),
+linked AS (SELECT * FROM ids i WHERE EXISTS (SELECT 1 FROM secrets k WHERE {near.format(a="i", b="k")})),
+spans AS (SELECT doc_id, rank, s, e FROM p WHERE rank < 3 UNION ALL SELECT doc_id, rank, s, e FROM linked WHERE rank = 3
+  UNION ALL SELECT doc_id, rank, s, e FROM secrets k WHERE rank = 4 AND EXISTS (SELECT 1 FROM ids i WHERE {near.format(a="i", b="k")})
+  UNION ALL SELECT doc_id, rank, s, e FROM p u WHERE rank = 5 AND EXISTS (SELECT 1 FROM linked i WHERE {near.format(a="i", b="u")})),
+named AS (SELECT *, kind || ':' || s || ':' || e AS told FROM spans JOIN kind USING (rank))
+SELECT d.doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+  sha256(coalesce(string_agg(told, ',' ORDER BY s, rank) FILTER (rank < 3), '')) AS base_sha256, coalesce(string_agg(told, ',' ORDER BY s, rank), '') AS spans
+FROM d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id
+"""
