@@ -6,14 +6,14 @@ are found by beam search of width BEAM. With its code a vector stores its norm a
 leaves over. Lookup tables of query-by-codeword products score inner products directly, and Euclidean distances
 with the norm; the rest's length bounds how far such a score can be off.
 
-Codes stay where they are, in partitions sorted by their first word, which is a coarse quantiser. Queries come
-to them: a bounded block of queries, as one broadcast, and every task keeps a running list of the best for each.
-A query's bar is the exact score of the ``keep``-th best it has; it starts at that of the fitting sample, which
-is part of the table. Cells whose vectors cannot reach the bar (product with the first word, plus the radius of
-the cell; or the largest stored norm) are passed over; of the others every vector whose score by tables plus its
-bound reaches the bar is scored exactly, however many they are (a large group of nearly equal vectors, which no
-code tells apart, is scored whole, by matrix products). So no fixed number of candidates decides what is found, and
-a task gives back only what reaches the bar; these are merged and ranked.
+Codes stay where they are, in partitions of at most TASK_CODES (about) sorted by their first word, which is a coarse
+quantiser. Queries come to them: a bounded block of queries, as one broadcast, and every task keeps a running list of
+the best for each. A query's bar is the exact score of the ``keep``-th best it has; it starts at that of the fitting
+sample, which is part of the table. Cells whose vectors cannot reach the bar (product with the first word, plus the
+radius of the cell; or the largest stored norm) are passed over; of the others every vector whose score by tables
+plus its bound reaches the bar is scored exactly, however many they are (a large group of nearly equal vectors, which
+no code tells apart, is scored whole, by matrix products). So no fixed number of candidates decides what is found,
+and a task gives back only what reaches the bar; these are merged and ranked.
 
 Equal vectors are one candidate; after ranking it stands for its k + 1 smallest ids, which is exact. Vectors that
 are null, zero, or hold a null or non-finite component take no part. Vectors of different lengths have no inner
@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 from .common import batch_of, saved, settled, small_batches
 
 LEVELS, WORDS, BEAM, FIT_ROWS = 24, 256, 4, 16384
-#: Queries whose tables are held at once, codes scored at once, and bytes of queries that are broadcast at once.
-QUERY_BLOCK, CODE_BLOCK, QUERY_BYTES = 256, 8192, 8 << 20
+#: Queries whose tables are held at once, codes that a task holds and scores at once, and bytes of queries broadcast at once.
+QUERY_BLOCK, TASK_CODES, CODE_BLOCK, QUERY_BYTES = 256, 1 << 17, 4096, 8 << 20
 MOST_LENGTHS = 64
+CODED = [("rep", pa.int64()), ("cell", pa.int32()), ("code", pa.binary()), ("norm", pa.float64()), ("error", pa.float64()), ("x", pa.binary())]
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -97,13 +98,17 @@ def errors_of(x: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np.ndarray
     return np.sqrt((rest**2).sum(1)) * (1 + 1e-9) + rounding
 
 
-def score_block(queries: np.ndarray, codes: np.ndarray, books: np.ndarray) -> np.ndarray:
-    """Approximate inner products [queries, codes] by lookup tables."""
-    tables = np.einsum("qd,mwd->mwq", queries, books, optimize=True).astype(np.float32)
-    out = np.zeros((len(codes), len(queries)), np.float32)
-    for m in range(len(books)):
+def tables_of(queries: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """Products of codewords and queries [level, word, query]."""
+    return np.einsum("qd,mwd->mwq", queries, books, optimize=True).astype(np.float32)
+
+
+def score_block(tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Approximate inner products [codes, queries] by lookup tables."""
+    out = np.zeros((len(codes), tables.shape[2]), np.float32)
+    for m in range(len(tables)):
         out += tables[m][codes[:, m]]
-    return np.ascontiguousarray(out.T)
+    return out
 
 
 def spared(bars: np.ndarray) -> np.ndarray:
@@ -111,52 +116,80 @@ def spared(bars: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(bars), bars - 1e-9 * (np.abs(bars) + 1), bars)
 
 
+class Cells:
+    """The coded vectors of a task, by cell: (rep, cell, code, norm, error, x) sorted by cell."""
+
+    def __init__(self, held: pa.Table, books: np.ndarray, euclidean: bool):
+        kind = np.uint8 if books.shape[1] <= 256 else np.uint16
+        self.ids, self.books, self.euclidean = held["rep"].to_numpy(), books, euclidean
+        self.codes = np.frombuffer(b"".join(held["code"].to_pylist()), kind).reshape(len(self.ids), -1)
+        self.x = np.frombuffer(b"".join(held["x"].to_pylist()), np.float32).reshape(len(self.ids), -1)
+        self.norms, self.errors = held["norm"].to_numpy(), held["error"].to_numpy()
+        # What a score takes off the product: half the squared norm ranks by distance.
+        self.halves = 0.5 * self.norms if euclidean else np.zeros(len(self.ids))
+        cells = held["cell"].to_numpy()
+        self.edges = np.concatenate([[0], np.flatnonzero(np.diff(cells)) + 1, [len(cells)]])
+        self.words = books[0][cells[self.edges[:-1]]].astype(np.float64)
+        rest = np.sqrt(((self.x.astype(np.float64) - books[0][cells]) ** 2).sum(1))
+        self.radius = np.maximum.reduceat(rest, self.edges[:-1]) * (1 + 1e-9)
+        self.longest = np.sqrt(np.maximum.reduceat(self.norms, self.edges[:-1])) * (1 + 1e-9)
+        self.least = np.minimum.reduceat(self.halves, self.edges[:-1])
+
+    def bounds(self, queries: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The most that a vector of a cell can score [queries, cells]."""
+        return np.minimum(queries @ self.words.T + lengths[:, None] * self.radius, lengths[:, None] * self.longest) - self.least
+
+
 class Running:
     """The best of what a block of queries has met so far, and each query's bar."""
 
     def __init__(self, queries: np.ndarray, bars: np.ndarray, keep: int):
         self.queries, self.keep, self.bars = queries.astype(np.float64), keep, bars.copy()
         self.lengths = np.sqrt((self.queries**2).sum(1))
-        self.rows, self.scores, self.ids = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
-
-    def take(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Merge found (query row, score, id); the best ``keep`` of each query stay, equal scores by smaller id."""
-        rows, scores, ids = np.concatenate([self.rows, rows]), np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Take in (query row, score, id); merged once they are many."""
+        self.found.append((rows, scores, ids))
+        self.waiting += len(rows)
+        if self.waiting > self.keep * len(self.queries):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best ``keep`` of each query, equal scores by smaller id; bars rise to the last of them."""
+        rows, scores, ids = (np.concatenate(c) for c in zip((np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)), *self.found, strict=True))
         order = np.lexsort((ids, -scores, rows))
         rows, scores, ids = rows[order], scores[order], ids[order]
         rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
         full = rank == self.keep - 1
         self.bars[rows[full]] = np.maximum(self.bars[rows[full]], scores[full])
         stay = rank < self.keep
-        self.rows, self.scores, self.ids = rows[stay], scores[stay], ids[stay]
-
-    def meet(self, x: np.ndarray, codes: np.ndarray, norms: np.ndarray, errors: np.ndarray, ids: np.ndarray, books: np.ndarray, euclidean: bool) -> None:
-        """Search vectors of one cell: those that start with the same word. A Euclidean score is the product less half the
-        squared norm, which ranks the vectors for a query as distances do."""
-        halves = 0.5 * norms if euclidean else np.zeros(len(x))
-        x = x.astype(np.float64)
-        word = books[0][codes[0, 0]].astype(np.float64)
-        radius = np.sqrt(((x - word) ** 2).sum(1).max()) * (1 + 1e-9)
-        most = np.minimum(self.queries @ word + self.lengths * radius, self.lengths * np.sqrt(norms.max()) * (1 + 1e-9)) - halves.min()
-        asked = np.flatnonzero(most >= spared(self.bars))
-        if not len(asked):
-            return
-        near = score_block(self.queries[asked].astype(np.float32), codes, books) - halves
-        bound = np.minimum(near + self.lengths[asked, None] * errors, self.lengths[asked, None] * np.sqrt(norms) * (1 + 1e-9) - halves)
-        # The best by tables first: they raise the bars for the others.
-        first = min(self.keep, len(x))
-        top = np.argpartition(-near, first - 1, axis=1)[:, :first]
-        exact = np.einsum("qkd,qd->qk", x[top], self.queries[asked]) - halves[top]
-        bars = self.bars[asked]
-        if first == self.keep:
-            bars = np.maximum(bars, exact.min(1))
-        reach = bound >= spared(bars)[:, None]
+        best = rows[stay], scores[stay], ids[stay]
+        self.found, self.waiting = [best], 0
+        return best
+
+    def search(self, cells: Cells) -> None:
+        """Meet all cells, the most promising first."""
+        bounds = cells.bounds(self.queries, self.lengths)
+        tables = tables_of(self.queries.astype(np.float32), cells.books)
+        for c in np.argsort(-(bounds - np.where(np.isfinite(self.bars), self.bars, 0.0)[:, None]).max(0), kind="stable"):
+            for low in range(cells.edges[c], cells.edges[c + 1], CODE_BLOCK):
+                asked = np.flatnonzero(bounds[:, c] >= spared(self.bars))
+                if len(asked):
+                    self.meet(cells, slice(low, min(low + CODE_BLOCK, cells.edges[c + 1])), asked, tables[:, :, asked] if 2 * len(asked) < len(self.queries) else tables)
+
+    def meet(self, cells: Cells, part: slice, asked: np.ndarray, tables: np.ndarray) -> None:
+        near = score_block(tables, cells.codes[part]).T
+        near = near if len(near) == len(asked) else near[asked]
+        near = near - cells.halves[part]
+        lengths, bars = self.lengths[asked, None], spared(self.bars[asked])[:, None]
+        reach = (near + lengths * cells.errors[part] >= bars) & (lengths * np.sqrt(cells.norms[part]) * (1 + 1e-9) - cells.halves[part] >= bars)
         some = np.flatnonzero(reach.any(0))
-        if not len(some):
-            return
-        exact = self.queries[asked] @ x[some].T - halves[some]
-        hit, at = np.nonzero(reach[:, some] & (exact >= spared(bars)[:, None]))
-        self.take(asked[hit], exact[hit, at], ids[some[at]])
+        if len(some):
+            exact = self.queries[asked] @ cells.x[part][some].astype(np.float64).T - cells.halves[part][some]
+            hit, at = np.nonzero(reach[:, some] & (exact >= bars))
+            self.add(asked[hit], exact[hit, at], cells.ids[part][some[at]])
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -180,10 +213,11 @@ def coded_vectors(reps: DataFrame, books: np.ndarray) -> DataFrame:
             x = matrix(b.column(1))
             codes = encode(x, books)
             norms = (x.astype(np.float64) ** 2).sum(1)
-            yield batch_of({"rep": (b.column(0).to_pylist(), pa.int64()), "cell": (codes[:, 0].tolist(), pa.int32()), "code": ([c.tobytes() for c in codes.astype(kind)], pa.binary()), "norm": (norms.tolist(), pa.float64()), "error": (errors_of(x, codes, books).tolist(), pa.float64()), "x": ([v.tobytes() for v in x], pa.binary())})
+            columns = b.column(0).to_pylist(), codes[:, 0].tolist(), [c.tobytes() for c in codes.astype(kind)], norms.tolist(), errors_of(x, codes, books).tolist(), [v.tobytes() for v in x]
+            yield batch_of({name: (values, of) for (name, of), values in zip(CODED, columns, strict=True)})
 
     # Coding and scoring are the work here, so they are dealt to all cores however few files the vectors are in.
-    tasks = max(reps.sparkSession.sparkContext.defaultParallelism, -(-reps.count() // (16 * CODE_BLOCK)))
+    tasks = max(reps.sparkSession.sparkContext.defaultParallelism, -(-reps.count() // TASK_CODES))
     coded = reps.repartition(tasks, "rep").mapInArrow(pack, "rep long, cell int, code binary, norm double, error double, x binary")
     return saved(coded.sortWithinPartitions("cell", "rep"), "coded")
 
@@ -201,35 +235,19 @@ def nearest(coded: DataFrame, asked: pa.Table, sample: np.ndarray, books: np.nda
             bars[k : k + QUERY_BLOCK] = np.partition(scores, len(known) - keep, axis=1)[:, len(known) - keep]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = [Running(queries[k : k + QUERY_BLOCK], bars[k : k + QUERY_BLOCK], keep) for k in range(0, len(names), QUERY_BLOCK)]
-        kind = np.uint8 if books.shape[1] <= 256 else np.uint16
-        for b in in_blocks(batches, CODE_BLOCK):
-            ids, cells = b["rep"].to_numpy(), b["cell"].to_numpy()
-            codes = np.frombuffer(b"".join(b["code"].to_pylist()), kind).reshape(len(ids), -1)
-            x = np.frombuffer(b"".join(b["x"].to_pylist()), np.float32).reshape(len(ids), -1)
-            norms, errors = b["norm"].to_numpy(), b["error"].to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
-            for low, high in zip(edges[:-1], edges[1:], strict=True):
-                for block in blocks:
-                    block.meet(x[low:high], codes[low:high], norms[low:high], errors[low:high], ids[low:high], books, euclidean)
-        for k, block in enumerate(blocks):
-            of = names[k * QUERY_BLOCK + block.rows]
-            yield batch_of({"query": (of.tolist(), pa.int64()), "rep": (block.ids.tolist(), pa.int64()), "score": (block.scores.tolist(), pa.float64())})
+        held = pa.Table.from_batches(batches, pa.schema(CODED))
+        if not held.num_rows:
+            return
+        cells = Cells(held, books, euclidean)
+        for k in range(0, len(names), QUERY_BLOCK):
+            block = Running(queries[k : k + QUERY_BLOCK], bars[k : k + QUERY_BLOCK], keep)
+            block.search(cells)
+            rows, scores, ids = block.merge()
+            yield batch_of({"query": (names[k + rows].tolist(), pa.int64()), "rep": (ids.tolist(), pa.int64()), "score": (scores.tolist(), pa.float64())})
 
     return coded.mapInArrow(search, "query long, rep long, score double")
 
 
-def in_blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        held.append(b)
-        if sum(h.num_rows for h in held) >= rows:
-            yield pa.Table.from_batches(held)
-            held = []
-    if any(h.num_rows for h in held):
-        yield pa.Table.from_batches(held)
-
-
 def search(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", measure: str = "inner", query_bytes: int = QUERY_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest other rows. Queries are ids divisible by ``every``; the score
     is the inner product, or minus the Euclidean distance."""

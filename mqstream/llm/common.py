@@ -25,11 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """df, whose rows meet costly work in any order: a small table in fewer files than there are cores is dealt to all of
     them. Large ones are in many splits and stay as they are."""
-    cores, files = df.sparkSession.sparkContext.defaultParallelism, len(df.inputFiles())
-    if not 0 < files < cores:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > cores * SPREAD_BYTES:
         return df
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size <= cores * SPREAD_BYTES else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def small_batches(spark: SparkSession) -> None:
