@@ -14,7 +14,8 @@ than ``hard_gap`` tokens, every HARD_STEP-th token position between them joins t
 Work goes in blocks of ``block`` windows, and the last open window of a block starts the next one, so a
 task holds one block however long a document is. No shuffle: sequence ids carry the partition number, and
 a repeated task gives the same rows. Null and empty texts hold only the end id. Repeated rows are packed
-as often as they occur.
+as often as they occur, rows with null ids like others, and of equally cheap cuts the last found one is taken. Columns
+other than id and text are ignored.
 """
 
 from __future__ import annotations

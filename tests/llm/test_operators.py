@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mqstream.llm import ann, decontaminate, language_id, license_scan, line_dedup, near_dedup, packing, quality, queries, resharding, secret_scan
+from mqstream.llm import ann, common, decontaminate, language_id, license_scan, line_dedup, near_dedup, packing, quality, queries, resharding, secret_scan
 from mqstream.llm.license_texts import HEADERS, KNOWN
 
 rng = random.Random(5)
@@ -50,6 +50,25 @@ def empty(spark):
     return docs_of(spark, [(1, "x")]).where("doc_id > 1")
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, other=None: other)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.scratch(Session)
+
+
+def test_intermediate_tables_can_be_cleared(spark, edges):
+    saved = common.saved(edges.select("doc_id"), "cleared")
+    assert saved.count() == len(EDGES)
+    common.clear(spark)
+    assert not os.path.exists(common.scratch(spark).removeprefix("file:"))
+
+
 # 1: near duplicates
 
 
