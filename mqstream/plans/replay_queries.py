@@ -77,7 +77,7 @@ def budget_walk_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def fold(state, row):  # noqa: ANN001, ANN202
         budget = (state or memory.Budget.start(0, 4 << 30)).after(memory.Reading(int(row.k), 2 << 30, 64 << 20))
-        return budget, (row.user_id, row.event_id, budget.size, budget.move, budget.calm, budget.hot)
+        return budget, (row.user_id, row.event_id, budget.size, budget.move, budget.streaks.calm, budget.streaks.hot)
 
     return replay(traces(spark, sf_dir), "user_id", "event_id", fold, "user_id long, event_id long, budget long, move long, calm int, hot int")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, replace
 from pathlib import Path
+from typing import NamedTuple
 
 MIB = 1 << 20
 CEILING, HOST_RESERVE, HOUR_MS = 60, 512 * MIB, 3_600_000
@@ -43,54 +44,73 @@ class Reading:
     free: int
     gathered: int
 
+    @property
+    def hot(self) -> bool:
+        return self.used_percent >= SHRINK_AT
+
+    @property
+    def cool(self) -> bool:
+        return 0 <= self.used_percent < GROW_BELOW and self.free >= GROW_FREE
+
+    @property
+    def ample(self) -> bool:
+        return 0 <= self.used_percent < RESTORE_BELOW and self.free >= RESTORE_FREE
+
+
+class Streaks(NamedTuple):
+    """How many gathers in a row were hot; were cool; and, of the cool ones, came near to not being so."""
+
+    hot: int = 0
+    calm: int = 0
+    near: int = 0
+
+    def after(self, r: Reading) -> Streaks:
+        """A gather that got nothing is neither hot nor the end of a hot run."""
+        calm = self.calm + 1 if r.cool else 0
+        if r.gathered <= 0:
+            return self._replace(calm=calm)
+        if r.hot:
+            return Streaks(hot=self.hot + 1)
+        return Streaks(0, calm, self.near + (r.used_percent >= NEAR_AT) if r.cool else 0)
+
 
 @dataclass(frozen=True)
 class Budget:
-    """The byte budget as it walks between FLOOR and ``ceiling``."""
+    """The byte budget as it walks between FLOOR and ``ceiling``, by moves that halve as it turns or comes to the ceiling."""
 
     size: int
     ceiling: int
     move: int
     opening: int
-    calm: int = 0
-    hot: int = 0
-    near: int = 0
     shrank: bool = False
+    streaks: Streaks = Streaks()
 
     @staticmethod
     def start(batch_size: int, memory: int) -> Budget:
         first = seed(batch_size, memory)
         return Budget(first, top(batch_size, memory), opening_move(first), opening_move(first))
 
-    def _half(self) -> int:
-        return max(self.move // 2, LEAST_MOVE)
+    def to(self, size: int) -> Budget:
+        """A run of streaks ends here; a size that is another is remembered as a move."""
+        if size == self.size:
+            return replace(self, streaks=Streaks())
+        return replace(self, size=size, move=max(abs(size - self.size), LEAST_MOVE), shrank=size < self.size, streaks=Streaks())
 
-    def _rise(self, r: Reading, near: int) -> int:
-        """The remembered move; half of it after a shrink or close to the ceiling; up to double, within the opening move,
-        when memory is plentiful."""
-        if self.shrank or near >= NEAR_AFTER or 0 < self.ceiling - self.size <= 2 * self.move:
-            return self._half()
-        if 0 <= r.used_percent < RESTORE_BELOW and r.free >= RESTORE_FREE and self.move < self.opening:
-            return min(max(2 * self.move, LEAST_MOVE), self.opening)
-        return self.move
+    def rise(self, ample: bool, near: int) -> int:
+        """The remembered move. After a shrink, with the ceiling at hand or memory near its bound half of it; where memory is
+        ample up to double, within the opening move."""
+        if self.shrank or near >= NEAR_AFTER or self.ceiling - self.size <= 2 * self.move:
+            return max(self.move // 2, LEAST_MOVE)
+        return max(self.move, min(max(2 * self.move, LEAST_MOVE), self.opening)) if ample else self.move
 
     def after(self, r: Reading) -> Budget:
-        cool = 0 <= r.used_percent < GROW_BELOW and r.free >= GROW_FREE
-        calm = self.calm + 1 if cool else 0
-        if r.gathered <= 0:  # a pause: neither hot nor the end of a hot run
-            return replace(self, calm=calm)
-        if r.used_percent >= SHRINK_AT:
-            if self.hot + 1 < SHRINK_AFTER:
-                return replace(self, calm=0, hot=self.hot + 1, near=0)
-            less = max(self.size - self._half(), FLOOR) if self.size > FLOOR else self.size
-            if less == self.size:
-                return replace(self, calm=0, hot=0, near=0)
-            return replace(self, size=less, move=max(self.size - less, LEAST_MOVE), calm=0, hot=0, near=0, shrank=True)
-        near = 0 if not cool else self.near + 1 if r.used_percent >= NEAR_AT else self.near
-        if calm >= GROW_AFTER and 10 * r.gathered >= 9 * self.size and 0 < self.size < self.ceiling:
-            more = min(self.size + self._rise(r, near), self.ceiling)
-            return replace(self, size=more, move=max(more - self.size, LEAST_MOVE), calm=0, hot=0, near=0, shrank=False)
-        return replace(self, calm=calm, hot=0, near=near)
+        streaks = self.streaks.after(r)
+        if r.gathered > 0 and streaks.hot >= SHRINK_AFTER:
+            return self.to(min(self.size, max(self.size - max(self.move // 2, LEAST_MOVE), FLOOR)))
+        filled = 0 < 9 * self.size <= 10 * r.gathered
+        if filled and not r.hot and streaks.calm >= GROW_AFTER and self.size < self.ceiling:
+            return self.to(min(self.size + self.rise(r.ample, streaks.near), self.ceiling))
+        return replace(self, streaks=streaks)
 
 
 def paused(used: int, memory: int, free: int) -> str | None:
