@@ -137,7 +137,7 @@ class StreamReader(DataSourceStreamReader):
         """(messages, bytes) that may be leased now: twice the flow's bytes and twice batchCount may be outstanding. While
         nothing waits to become a batch one message always may, however large."""
         count, size = self.broker.outstanding(self.options.subscription, self.owner)
-        least = int(count == self.broker.count(self.options.subscription, self.owner, -1, self.produced))
+        least = int(not self.broker.gathering(self.options.subscription, self.owner))
         most = 2 * self.options.batch_count - count if self.options.batch_count else 10_000
         return max(most, least), max(2 * self.flow - size, least) if self.flow else 2**62
 

@@ -241,7 +241,13 @@ def test_flow_is_bounded_and_follows_the_budget(tmp_path):
     b.abandon(NAME, r.owner, -1)
     r.options = replace(r.options, batch_count=0)
     assert len(r._poll(0, 60)) == 20 and r._poll(0, 60) == []  # twice the bytes
-    b.produce(NAME, r.owner, [])
+    b.abandon(NAME, r.owner, -1)
+    r.flow = 1  # a batch of one message holds more than may be out, and the next one must come all the same
+    for k in range(3):
+        held = r._poll(0, 60)
+        assert len(held) == 1 and r._poll(0, 60) == []
+        r.produced = b.produce(NAME, r.owner, held)
+        b.settle(NAME, k - 1)
     r.stop()
 
 
