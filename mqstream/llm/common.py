@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch: texts run to hundreds of kilobytes, so batches stay small.
 ARROW_ROWS, ARROW_BYTES = 256, 8 << 20
+#: Bytes of a file of an intermediate table, and the least worth a task of its own.
+FILE_BYTES, TASK_BYTES = 64 << 20, 1 << 20
 #: The most that is broadcast, and the most that a partition of a hash join may build on.
 BROADCAST_BYTES, HASH_BYTES = 16 << 20, 64 << 20
 #: A table of at most so many bytes for each core may be dealt anew to all of them.
@@ -75,10 +77,21 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
+def files_for(held: DataFrame) -> int:
+    """How many files a table that is persisted and counted is worth, by its bytes: enough for all cores while each has
+    something to do, and none larger than FILE_BYTES."""
+    size = int(held.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, -(-size // FILE_BYTES), min(held.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+
+
 def settled(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """``saved`` in files whose number follows from the table's bytes, not from the tasks that made it: the tables here are
     narrow, and many small files cost more than the step itself."""
-    return saved(df.hint("rebalance"), label, by=by)
+    held = kept(df)
+    held.count()
+    out = saved(held.coalesce(files_for(held)), label, by)
+    held.unpersist()
+    return out
 
 
 def small(df: DataFrame, row_bytes: Column | int = 16) -> DataFrame:

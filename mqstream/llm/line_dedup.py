@@ -24,7 +24,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, kept, scratch, settled, small, spread
+from .common import files_for, fresh, kept, scratch, settled, small, spread
 
 WHITE = "\x20\t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,7 +73,10 @@ class LineRuns:
     def _write(self, rows: DataFrame, name: str) -> str:
         """Sorted files, as many as the rows' bytes are worth."""
         path, self.made = f"{self.folder}/{name}-{self.made}", self.made + 1
-        rows.hint("rebalance").sortWithinPartitions(*HASHES).write.parquet(path)
+        held = kept(rows)
+        held.count()
+        held.coalesce(files_for(held)).sortWithinPartitions(*HASHES).write.parquet(path)
+        held.unpersist()
         return path
 
     def _read(self, paths: list[str]) -> DataFrame:
