@@ -213,11 +213,12 @@ class StreamReader(DataSourceStreamReader):
             LOG.warning(warning)
 
     def partitions(self, start: dict, end: dict) -> list[Slice]:
-        """Parts of the batches in the queue. Batches that were planned before a crash are taken over and read as they were."""
+        """Parts of the batches in the queue. Batches that were planned before a crash are taken over and read as they were; but
+        for a query's first one, which looks like an idle start and comes again when its leases end."""
         broker, o, after, to = self._open(), self.options, int(start["batchId"]), int(end["batchId"])
         broker.resume(o.subscription, to)
         self._call(lambda: broker.take_over(o.subscription, self.owner, after, to, o.lease_ms()))
-        self.open_batch, self.consumed = False, to
+        self.open_batch, self.consumed = self.open_batch and not started(to, self.produced), to
         return sliced(self.owner, after, to, broker.count(o.subscription, self.owner, after, to), o.num_writers)
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch | tuple]:

@@ -388,3 +388,30 @@ def test_a_running_query_commits_the_batch_before(spark, tmp_path):
     assert settle(spark, Options.of(options), checkpoint) == 2
     assert b.counts("projects/p/subscriptions/s") == {"acked": 6}
     assert {r["name"]: r["value"] for r in read_metrics(spark, options).where("batch = 2").collect()}["lastGatherMessageCount"] == "2"
+
+
+def test_a_query_that_runs_once(spark, tmp_path, caplog):
+    b = queue(tmp_path, [Message(f"m{k}") for k in range(3)], "projects/p/subscriptions/s")
+    seen, options = [], BASE | {"queue": str(tmp_path / "q.db"), "receiveTime": "500ms", "emulatorHost": "localhost:1"}
+    stream = read_stream(spark, options).writeStream.foreachBatch(lambda df, _: seen.extend(r.messageid for r in df.collect()))
+    stream.option("checkpointLocation", str(tmp_path / "c")).trigger(once=True).start().awaitTermination()
+    assert sorted(seen) == ["m0", "m1", "m2"] and "emulatorHost is ignored" in caplog.text
+    assert settle(spark, Options.of(options), str(tmp_path / "c")) == 0 and b.counts("projects/p/subscriptions/s") == {"acked": 3}
+
+
+def test_a_killed_query_loses_nothing(spark, tmp_path):
+    """A sink that fails leaves a planned batch behind; the next run of the query writes it, and then the rest."""
+    b = queue(tmp_path, [Message(f"m{k}") for k in range(6)], "projects/p/subscriptions/s")
+    seen, options, broken = [], BASE | {"queue": str(tmp_path / "q.db"), "batchCount": "2"}, [True]
+
+    def write(df, n):
+        if n and broken[0]:
+            raise RuntimeError("the sink is gone")
+        seen.append(sorted(r.messageid for r in df.collect()))
+
+    with pytest.raises(Exception, match="sink is gone"):
+        drain(spark, options, str(tmp_path / "c"), write)
+    assert seen == [["m0", "m1"]] and b.counts("projects/p/subscriptions/s") == {"acked": 2, "leased": 2, "ready": 2}
+    broken[0] = False
+    drain(spark, options, str(tmp_path / "c"), write)
+    assert seen == [["m0", "m1"], ["m2", "m3"], ["m4", "m5"]] and b.counts("projects/p/subscriptions/s") == {"acked": 6}
