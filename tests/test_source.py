@@ -221,6 +221,85 @@ def test_leases_are_bounded_in_bytes(tmp_path):
     assert ids(b.lease("s", "a", 9, 1000, 0)) == ["m4"]
 
 
+def test_what_is_done_to_many_messages_changes_few_rows(tmp_path):
+    b = queue(tmp_path, [Message(f"m{k}", b"xy") for k in range(5000)])
+    before = b.db.total_changes
+    held = [m for _ in range(5) for m in b.lease("s", "a", 1000, 60_000)]
+    assert b.outstanding("s", "a") == (5000, 10_000) and b.produce("s", "a", held) == 0
+    b.settle("s", 0)
+    assert b.counts("s") == {"acked": 5000} and b.db.total_changes - before < 50
+
+
+def test_spans_stand_for_their_messages(tmp_path):
+    """Leases, acknowledgements, batches and seeks in any order, against one state a message; ids that are known leave gaps."""
+    rng, now = random.Random(7), [0]
+    b = queue(tmp_path, [], now=now)
+    for k in range(6):
+        b.publish([Message(f"m{rng.randrange(400)}", b"x" * rng.randrange(5), publish_ms=rng.randrange(100)) for _ in range(30)])
+    every = {seq: (size, ms) for seq, size, ms in b.db.execute("SELECT seq, size, publish_ms FROM message")}
+    state = dict.fromkeys(every, ("ready", None))
+
+    def take(owner, count, most):
+        found, held = [], 0
+        for seq in sorted(s for s in state if state[s][0] == "ready")[:count]:
+            if found and held + every[seq][0] > most:
+                break
+            found.append(seq)
+            held += every[seq][0]
+        state.update(dict.fromkeys(found, ("leased", owner)))
+        return found
+
+    snapshot = None
+    for _ in range(400):
+        owner, some = rng.choice("ab"), rng.sample(sorted(every), rng.randrange(1, 20))
+        mine = [s for s in some if state[s] == ("leased", owner)]
+        act = rng.choice(["lease"] * 6 + ["ack", "nack"] * 3 + ["seek", "take", "back"])
+        if act == "lease":
+            count, most = rng.randrange(1, 40), rng.choice([3, 30, 2**40])
+            assert [m.seq for m in b.lease("s", owner, count, 10**9, most)] == take(owner, count, most)
+        elif act == "ack":
+            b.ack("s", owner, some)
+            state.update(dict.fromkeys(mine, ("acked", owner)))
+        elif act == "nack":
+            b.nack("s", owner, some)
+            state.update(dict.fromkeys(mine, ("ready", None)))
+        elif act == "seek":
+            b.seek("s", at := rng.randrange(100))
+            state = {s: ("ready" if every[s][1] >= at else "acked", None) for s in every}
+        elif act == "take":
+            b.take_snapshot("s", "snap")
+            snapshot = {s for s in every if state[s][0] == "acked"}
+        elif snapshot is not None:
+            b.seek_snapshot("s", "snap")
+            state = {s: ("acked" if s in snapshot else "ready", None) for s in every}
+        told = {k: sum(x[0] == k for x in state.values()) for k in ("ready", "leased", "acked")}
+        assert b.counts("s") == {k: n for k, n in told.items() if n}
+        held = [s for s in every if state[s] == ("leased", owner)]
+        assert b.outstanding("s", owner) == (len(held), sum(every[s][0] for s in held))
+    b.abandon("s", "a", -1)
+    b.abandon("s", "b", -1)
+    held = b.lease("s", "c", 1000, 10**9)
+    b.produce("s", "c", [m for m in held if m.seq % 3])
+    for parts in (1, 4):
+        got = [[x[0] for rows in b.part_of_batch("s", "c", -1, 0, k, parts) for x in rows] for k in range(parts)]
+        want = [m.messageid for m in held if m.seq % 3]
+        assert got == [want[k::parts] for k in range(parts)]
+
+
+def test_a_queue_from_before_spans(tmp_path):
+    b = queue(tmp_path, [Message(f"m{k}", b"x") for k in range(4)])
+    b.db.execute("CREATE TABLE delivery (subscription TEXT, seq INTEGER, state TEXT DEFAULT 'ready', owner TEXT, since_ms INTEGER, until_ms INTEGER DEFAULT 0, batch INTEGER, PRIMARY KEY (subscription, seq)) WITHOUT ROWID")
+    b.db.execute("CREATE TABLE snapshot (name TEXT, seq INTEGER, PRIMARY KEY (name, seq)) WITHOUT ROWID")
+    b.db.execute("INSERT INTO delivery (subscription, seq, state) SELECT 's', seq, CASE WHEN seq = 2 THEN 'acked' ELSE 'ready' END FROM message")
+    b.db.execute("INSERT INTO snapshot VALUES ('snap', -1), ('snap', 1)")
+    b.db.execute("DELETE FROM span")
+    b.close()
+    b = Broker(str(tmp_path / "q.db"))
+    assert b.counts("s") == {"acked": 1, "ready": 3}
+    b.seek_snapshot("s", "snap")
+    assert ids(b.lease("s", "a", 9, 1000)) == ["m1", "m2", "m3"]
+
+
 def reader(path, **options):
     r = StreamReader(Options.of(BASE | {"subscription": "projects/x/subscriptions/s", "queue": str(path / "q.db"), "receiveTime": "100ms"} | options), False, RAW)
     r._open()
