@@ -14,6 +14,7 @@ from mqstream.functions import values
 from mqstream.functions.decode import check, payload_field, payload_fields
 from mqstream.functions.payload import Decoder
 from mqstream.operators.admission import UNLIMITED, batches_by_bytes, in_order
+from mqstream.plans import stream_queries
 from mqstream.sources.avro import struct_of
 from mqstream.sources.options import Options
 from mqstream.sources.schema import METADATA, RAW, metadata_schema, registered_schema, table_schema
@@ -330,6 +331,26 @@ def test_flow_is_bounded_and_follows_the_budget(tmp_path):
     r.stop()
 
 
+def test_a_gather_keeps_what_it_has_taken(tmp_path):
+    """However long it takes: its leases are renewed while it polls."""
+    queue(tmp_path, [Message(f"m{k}") for k in range(6)], NAME)
+    r = reader(tmp_path, ackDeadline="180s")
+    now = [r.renewed]
+    r.broker.clock_ms = lambda: now[0]
+    got = []
+    for _ in range(6):
+        got += ids(r._poll(0, 1))
+        now[0] += 100_000
+    assert got == [f"m{k}" for k in range(6)] and r.broker.outstanding(NAME, r.owner)[0] == 6
+    r.stop()
+
+
+def test_a_stream_that_stalls_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(stream_queries, "STALLED_S", 0)
+    with pytest.raises(TimeoutError):
+        stream_queries.stream_redelivery(spark, "/root/testdata/sf0.001")
+
+
 def test_stop_and_failure_give_back(tmp_path):
     b = queue(tmp_path, [Message(f"m{k}") for k in range(6)], NAME)
     r = reader(tmp_path, batchCount="4")
