@@ -515,3 +515,11 @@ def test_a_killed_query_loses_nothing(spark, tmp_path):
     broken[0] = False
     drain(spark, options, str(tmp_path / "c"), write)
     assert seen == [["m0", "m1"], ["m2", "m3"], ["m4", "m5"]] and b.counts("projects/p/subscriptions/s") == {"acked": 6}
+
+
+def test_a_limit_in_time_whatever_the_ids(spark, tmp_path):
+    """Ids that run against time, and more messages than a poll takes: all before the limit come."""
+    at = F.timestamp_millis(F.lit(1_700_000_000_000) - F.col("id") * 1000).cast("timestamp_ntz")
+    rows = spark.range(25_000).select(F.col("id").alias("event_id"), at.alias("ts"), F.lit(1).alias("user_id"), F.lit("x").alias("event_type"), F.lit("{}").alias("props"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    assert stream_queries.stream_limit_time(spark, str(tmp_path)).count() == 18750
