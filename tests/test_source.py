@@ -6,6 +6,8 @@ import sqlite3
 import time
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,7 @@ from mqstream.plans import stream_queries
 from mqstream.sources.avro import struct_of
 from mqstream.sources.options import Options
 from mqstream.sources.schema import METADATA, RAW, metadata_schema, registered_schema, table_schema
+from mqstream.streaming import store
 from mqstream.streaming.broker import LONGEST_LEASE_MS, Broker, Message
 from mqstream.streaming.drain import drain, settle
 from mqstream.streaming.errors import NotFoundError
@@ -523,3 +526,82 @@ def test_a_limit_in_time_whatever_the_ids(spark, tmp_path):
     rows = spark.range(25_000).select(F.col("id").alias("event_id"), at.alias("ts"), F.lit(1).alias("user_id"), F.lit("x").alias("event_type"), F.lit("{}").alias("props"))
     rows.write.parquet(str(tmp_path / "events.parquet"))
     assert stream_queries.stream_limit_time(spark, str(tmp_path)).count() == 18750
+
+
+def rows_of(b):
+    """The rows of each of the queue's tables."""
+    return {name: b.db.execute(f"SELECT count(*) FROM {name}").fetchone()[0] for (name,) in b.db.execute("SELECT name FROM sqlite_master WHERE type = 'table'").fetchall()}
+
+
+def test_published_tables_are_few_rows_of_the_queue(spark):
+    """What is published, leased, batched and read of a table costs some calls a chunk, none a message."""
+    setup = stream_queries.Setup(spark, "/root/testdata/sf0.1")
+    b, name = Broker(setup.queue), "projects/p/subscriptions/s"
+    before, held = b.db.total_changes, []
+    while part := b.lease(name, "me", 10_000, 60_000):
+        held.append(part)
+    assert b.produce(name, "me", held) == 0 and b.count(name, "me", -1, 0) == sum(map(len, held)) == 100_000
+    assert sum(t.num_rows for t in b.tables_of_batch(name, "me", -1, 0, 0, 1)) == 100_000
+    assert sum(rows_of(b).values()) < 100 and b.db.total_changes - before < 100
+
+
+def table(rows):
+    """(messageid, body, publish_ms) as a table to publish."""
+    names, bodies, times = zip(*rows, strict=True) if rows else ((), (), ())
+    columns = {"messageid": pa.array(names, pa.string()), "size": pa.array([len(x) for x in bodies], pa.int32()), "attributes": pa.array(["{}"] * len(names), pa.string())}
+    return pa.RecordBatch.from_pydict(columns | {"ms": pa.array(times, pa.int64()), "orderingkey": pa.array([""] * len(names), pa.string()), "body": pa.array(bodies, pa.binary())})
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tables_and_messages_are_one_queue(tmp_path, monkeypatch, seed):
+    """Published as tables or one at a time, ids that are known are passed over and all else is as in a list; in small chunks."""
+    monkeypatch.setattr(store, "AT_ONCE", 7)
+    if seed % 2:  # whose hashes tell nothing
+        monkeypatch.setattr(store, "hashed", lambda ids: np.zeros(len(ids), np.uint64))
+    rng, known = random.Random(seed), {}
+    b = queue(tmp_path, [])
+    for k in range(12):
+        rows = [(f"m{rng.randrange(300)}", b"x" * rng.randrange(5), rng.randrange(100)) for _ in range(rng.randrange(30))]
+        fresh = {}
+        for i, body, ms in rows:
+            if i not in known:
+                fresh.setdefault(i, (body, ms))
+        known |= fresh
+        if rng.random() < 0.6:
+            assert b.publish_tables([table(rows[:9]), table(rows[9:])]) == len(fresh)
+        else:
+            b.publish([Message(i, body, publish_ms=ms) for i, body, ms in rows])
+    names = list(known)
+    told = [m for low, high in [(0, 10**6)] for m in b.store.messages(low, high)]
+    assert [(m.messageid, m.publish_ms, m.size()) for m in told] == [(i, ms, len(body)) for i, (body, ms) in known.items()]
+    bounds = b.waiting("s", 20, 80, 50)
+    want = [m.messageid for m in told if 20 <= m.publish_ms < 80][:50]
+    got = [[i for t in b.tables_in_range(*bounds, low, high) for i in t["messageid"].to_pylist()] for low, high in b.ranges(*bounds, 3)]
+    assert [i for part in got for i in part] == want and max(map(len, got)) - min(map(len, got)) <= 1
+    at = 0
+    while at < len(names):
+        count, most = rng.randrange(1, 20), rng.choice([0, 3, 25, 2**40])
+        held, size = [], 0
+        for i in names[at : at + count]:
+            if held and size + len(known[i][0]) > most:
+                break
+            held.append(i)
+            size += len(known[i][0])
+        block = b.lease("s", "a", count, 10**9, most)
+        assert ids(block) == held and (len(block), store.weight(block), store.newest(block)) == (len(held), size, max(known[i][1] for i in held))
+        at += len(held)
+    b.produce("s", "a", [m for m in told if m.seq % 3])
+    for parts in (1, 4):
+        got = [[x[0] for rows in b.part_of_batch("s", "a", -1, 0, k, parts) for x in rows] for k in range(parts)]
+        assert got == [[m.messageid for m in told if m.seq % 3][k::parts] for k in range(parts)]
+    assert b.publish_tables([table([(i, b"", 0) for i in names])]) == 0 and b.publish_tables([]) == 0
+    b.seek("s", 50)
+    later = [m for m in told if m.publish_ms >= 50]
+    assert b.counts("s") == {"acked": len(told) - len(later), "ready": len(later)} and ids(b.lease("s", "b", 10**6, 1000)) == ids(later)
+
+
+def test_a_message_without_a_time_is_refused(tmp_path):
+    b = queue(tmp_path, [])
+    with pytest.raises(ValueError):
+        b.publish_tables([table([("m0", b"", 1)]), table([("m1", b"", None)])])
+    assert b.counts("s") == {} and b.publish_tables([table([("m0", b"", 1)])]) == 1
