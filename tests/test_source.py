@@ -616,3 +616,21 @@ def test_what_is_published_later_is_few_rows_too(spark):
     setup.publish(every.where(at % 7 == 0))  # known already
     b = Broker(setup.queue)
     assert sum(rows_of(b).values()) < 100 and sum(setup.counts().values()) == 100_000 and setup.counts()["ready"] == 14_286
+
+
+def opened(spark, **options):
+    """A drain's reader of a queue of 100,000 events, and how many steps its queries have taken."""
+    setup, steps = stream_queries.Setup(spark, "/root/testdata/sf0.1"), [0]
+    r = StreamReader(Options.of(setup.options | options), True, RAW)
+    r._open().db.set_progress_handler(lambda: steps.__setitem__(0, steps[0] + 100), 100)
+    return r, steps
+
+
+def test_a_seek_looks_at_no_message_alone(spark):
+    r, steps = opened(spark)
+    b, name = r.broker, r.options.subscription
+    at = 1_705_276_800_000  # in the middle
+    b.seek(name, at)
+    later = sum(int((h.times >= at).sum()) for h in b.store.heads(0, 2**40))
+    assert b.counts(name) == {"acked": 100_000 - later, "ready": later} and 0 < later < 100_000 and steps[0] < 20_000
+    r.stop()
