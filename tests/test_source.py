@@ -634,3 +634,10 @@ def test_a_seek_looks_at_no_message_alone(spark):
     later = sum(int((h.times >= at).sum()) for h in b.store.heads(0, 2**40))
     assert b.counts(name) == {"acked": 100_000 - later, "ready": later} and 0 < later < 100_000 and steps[0] < 20_000
     r.stop()
+
+
+def test_a_batch_is_cut_without_a_look_at_each_message(spark):
+    r, steps = opened(spark, batchCount="50001")
+    assert r.latestOffset() == {"batchId": 0} and r.broker.count(r.options.subscription, r.owner, -1, 0) == 50_001
+    assert steps[0] < 100_000
+    r.stop()
