@@ -641,3 +641,11 @@ def test_a_batch_is_cut_without_a_look_at_each_message(spark):
     assert r.latestOffset() == {"batchId": 0} and r.broker.count(r.options.subscription, r.owner, -1, 0) == 50_001
     assert steps[0] < 100_000
     r.stop()
+
+
+def test_a_batch_is_read_by_whole_columns(spark):
+    r, _ = opened(spark)
+    start, end = r.initialOffset(), r.latestOffset()
+    tables = [t for p in r.partitions(start, end) for t in r.read(p)]
+    assert sum(t.num_rows for t in tables) == 100_000 and len(tables) < 20
+    r.stop()
