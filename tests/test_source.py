@@ -4,6 +4,7 @@ import json
 import random
 import sqlite3
 import time
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
@@ -649,3 +650,15 @@ def test_a_batch_is_read_by_whole_columns(spark):
     tables = [t for p in r.partitions(start, end) for t in r.read(p)]
     assert sum(t.num_rows for t in tables) == 100_000 and len(tables) < 20
     r.stop()
+
+
+def test_a_gather_until_idle_holds_no_messages(spark):
+    r, _ = opened(spark)
+    tracemalloc.start()
+    try:
+        r.latestOffset()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert r.broker.outstanding(r.options.subscription, r.owner)[0] == 100_000 and r.broker.idle(r.options.subscription) and peak < 5e6
+    r.stop()
