@@ -662,3 +662,12 @@ def test_a_gather_until_idle_holds_no_messages(spark):
         tracemalloc.stop()
     assert r.broker.outstanding(r.options.subscription, r.owner)[0] == 100_000 and r.broker.idle(r.options.subscription) and peak < 5e6
     r.stop()
+
+
+def test_tasks_share_a_batch_by_whole_columns(spark):
+    r, _ = opened(spark, numWriters="3")
+    start, end = r.initialOffset(), r.latestOffset()
+    parts = [list(r.read(p)) for p in r.partitions(start, end)]
+    assert [sum(t.num_rows for t in part) for part in parts] == [33_334, 33_333, 33_333] and max(map(len, parts)) < 10
+    assert len({i for part in parts for t in part for i in t["messageid"].to_pylist()}) == 100_000
+    r.stop()
