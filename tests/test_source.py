@@ -671,3 +671,13 @@ def test_tasks_share_a_batch_by_whole_columns(spark):
     assert [sum(t.num_rows for t in part) for part in parts] == [33_334, 33_333, 33_333] and max(map(len, parts)) < 10
     assert len({i for part in parts for t in part for i in t["messageid"].to_pylist()}) == 100_000
     r.stop()
+
+
+def test_attributes_are_parsed_once_a_chunk(spark, monkeypatch):
+    r, _ = opened(spark)
+    start, end = r.initialOffset(), r.latestOffset()
+    parsed, loads = [], json.loads
+    monkeypatch.setattr(json, "loads", lambda text: parsed.append(text) or loads(text))
+    kinds = {tuple(m) for p in r.partitions(start, end) for t in r.read(p) for m in t["attributes"].to_pylist()}
+    assert len(kinds) == len(set(parsed)) > 1 and len(parsed) <= 8 * len(kinds)
+    r.stop()
