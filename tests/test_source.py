@@ -681,3 +681,29 @@ def test_attributes_are_parsed_once_a_chunk(spark, monkeypatch):
     kinds = {tuple(m) for p in r.partitions(start, end) for t in r.read(p) for m in t["attributes"].to_pylist()}
     assert len(kinds) == len(set(parsed)) > 1 and len(parsed) <= 8 * len(kinds)
     r.stop()
+
+
+def test_tasks_make_the_chunks(spark, monkeypatch):
+    def fail(_):
+        raise AssertionError("the driver hashes")
+
+    monkeypatch.setattr(store, "hashed", fail)
+    setup = stream_queries.Setup(spark, "/root/testdata/sf0.01")
+    b = Broker(setup.queue)
+    assert [m.messageid for m in b.store.messages(0, 2**40)] == [str(k) for k in range(10_000)]
+
+
+def test_messages_are_put_in_order_by_several_keys(spark, monkeypatch):
+    monkeypatch.setattr(stream_queries, "PART_ROWS", 10)
+    rows = [(k % 7 if k % 5 else None, k) for k in range(997)]
+    df = stream_queries.in_order(spark.createDataFrame(rows, "a int, b int"), "a", F.col("b"))
+    assert [tuple(r) for r in df.collect()] == sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])) and df.rdd.getNumPartitions() > 1
+    assert stream_queries.in_order(df.where("false"), "a", "b").collect() == []
+
+
+def test_large_messages_make_small_chunks(monkeypatch):
+    monkeypatch.setattr(store, "CHUNK_BYTES", 1000)
+    rows = [(f"m{k}", b"x" * 300, k) for k in range(50)]
+    parts = list(store.regrouped(table(rows[k : k + 3]) for k in range(0, 50, 3)))
+    assert [i for p in parts for i in p["messageid"].to_pylist()] == [i for i, _, _ in rows] and max(p.num_rows for p in parts) <= 6
+    assert [p.num_rows for p in store.regrouped([table([(str(k), b"", k) for k in range(40_000)])])] == [16_384, 16_384, 7_232]
