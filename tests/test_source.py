@@ -707,3 +707,8 @@ def test_large_messages_make_small_chunks(monkeypatch):
     parts = list(store.regrouped(table(rows[k : k + 3]) for k in range(0, 50, 3)))
     assert [i for p in parts for i in p["messageid"].to_pylist()] == [i for i, _, _ in rows] and max(p.num_rows for p in parts) <= 6
     assert [p.num_rows for p in store.regrouped([table([(str(k), b"", k) for k in range(40_000)])])] == [16_384, 16_384, 7_232]
+
+
+def test_a_drains_sink_is_written_by_all_cores(spark):
+    out = stream_queries.Setup(spark, "/root/testdata/sf0.01").drain()
+    assert out.count() == 10_000 and len(out.inputFiles()) == spark.sparkContext.defaultParallelism
