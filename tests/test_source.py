@@ -21,7 +21,7 @@ from mqstream.plans import stream_queries
 from mqstream.sources.avro import struct_of
 from mqstream.sources.options import Options
 from mqstream.sources.schema import METADATA, RAW, metadata_schema, registered_schema, table_schema
-from mqstream.streaming import store
+from mqstream.streaming import source, store
 from mqstream.streaming.broker import LONGEST_LEASE_MS, Broker, Message
 from mqstream.streaming.drain import drain, settle
 from mqstream.streaming.errors import NotFoundError
@@ -712,3 +712,23 @@ def test_large_messages_make_small_chunks(monkeypatch):
 def test_a_drains_sink_is_written_by_all_cores(spark):
     out = stream_queries.Setup(spark, "/root/testdata/sf0.01").drain()
     assert out.count() == 10_000 and len(out.inputFiles()) == spark.sparkContext.defaultParallelism
+
+
+def test_only_the_columns_of_the_table_are_read(spark, tmp_path):
+    queue(tmp_path, [Message("m0", b'{"k": 1}', {"a": "b"}, 1000, "key")], "projects/p/subscriptions/s")
+    asked = []
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def options(self, **options):
+            asked.append(options["envelope"])
+            return spark.read.format("mq").options(**options)
+
+    session = type("Session", (), {"read": Reader(), "dataSource": spark.dataSource})()
+    read = lambda schema=None, **o: source.read_batch(session, BASE | {"queue": str(tmp_path / "q.db")} | o, schema).first().asDict()
+    assert read(schemaMode="slim") == {"body": b'{"k": 1}', "messageid": "m0", "publishtime": read()["publishtime"], "orderingkey": "key"}
+    assert read(T.StructType([T.StructField("k", T.IntegerType()), T.StructField("MessageId", T.StringType())])) == {"k": 1, "MessageId": "m0"}
+    assert read(schemaMode="raw", metadataMode="full")["attributes"] == {"a": "b"}
+    assert asked == ["body,messageid,publishtime,orderingkey", "body,messageid,publishtime", "body,messageid", "body,messageid,publishtime,orderingkey,ackid,attributes"]
