@@ -62,6 +62,14 @@ def clear(spark: SparkSession) -> None:
     remove(spark, scratch(spark))
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``saved`` wrote as they are, once all that is made of them has been written too. What is ``kept`` may be
+    computed again, so what it is made of stays."""
+    for df in tables:
+        for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            remove(df.sparkSession, path)
+
+
 def saved(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors. ``by`` is a column with
     few values whose rows are read apart."""

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, fresh, kept, settled, small, small_batches, spread, texts_of
+from .common import batch_of, forget, fresh, kept, settled, small, small_batches, spread, texts_of
 from .components import components
 
 WORDS, PERCENT, BANDS, ROWS = 2, 80, 12, 4
@@ -171,19 +171,23 @@ def confirm_blocks(blocks: DataFrame, words: int, percent: int) -> DataFrame:
     return blocks.select("xs", "ys").mapInArrow(run, "u long, v long")
 
 
-def shared(rows: DataFrame, *key: str) -> DataFrame:
+def shared(rows: DataFrame, label: str, *key: str) -> DataFrame:
     """The rows whose key occurs more than once. Counts combine before the shuffle, and a hot key's rows are split."""
     hot = settled(rows.groupBy(*key).count().where("count > 1").select(*key), "hot")
-    return rows.join(hot, list(key))
+    out = settled(rows.join(hot, list(key)), label)
+    forget(hot)
+    return out
 
 
 def table_keys(reps: DataFrame) -> DataFrame:
     """(l, r, doc) for each table in which a document meets another; the table's key is the pair (l, r)."""
     sides = reps.select("doc", F.explode(F.concat(F.transform("left", lambda k: F.struct(F.lit(0).alias("side"), k.alias("sub"))), F.transform("right", lambda k: F.struct(F.lit(1).alias("side"), k.alias("sub"))))).alias("x"))
-    met = settled(shared(sides.select("doc", "x.side", "x.sub"), "sub"), "met")
+    met = shared(sides.select("doc", "x.side", "x.sub"), "met", "sub")
     left = met.where("side = 0").select("doc", F.col("sub").alias("l"))
     right = met.where("side = 1").select("doc", F.col("sub").alias("r"))
-    return shared(left.join(right, "doc").select("l", "r", "doc"), *TABLE)
+    tables = shared(left.join(right, "doc").select("l", "r", "doc"), "tables", *TABLE)
+    forget(met)
+    return tables
 
 
 def homes(members: DataFrame, mixed: DataFrame) -> DataFrame:
@@ -202,11 +206,12 @@ def homes(members: DataFrame, mixed: DataFrame) -> DataFrame:
 def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Confirmed links (u, v) between representatives that connect what is connected."""
     reps = sigs.where("doc = rep AND n > 0").select("doc", "n", "left", "right")
-    tables = settled(table_keys(reps), "tables")
+    tables = table_keys(reps)
     # Each document's best centre.
     centres = settled(tables.groupBy(*TABLE).agg(F.min("doc").alias("centre")), "centres")
     votes = tables.join(centres, TABLE).where("doc <> centre").groupBy("doc", "centre").agg(F.count("*").alias("votes"))
     best = settled(votes.groupBy("doc").agg(F.max_by("centre", F.struct("votes", -F.col("centre"))).alias("centre")), "best")
+    forget(centres)
     candidates = settled(tables.select("doc").distinct(), "candidates")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(small(candidates), "doc", "left_semi")
     held = [texts := kept(texts)]
@@ -219,13 +224,17 @@ def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: st
     members = candidates.join(reps.groupBy("doc").agg(F.max("n").alias("n")), "doc").join(comps, "doc", "left").join(families, "doc", "left")
     members = settled(members.select("doc", "n", F.coalesce("comp", "doc").alias("comp"), F.coalesce("family", "doc").alias("family")), "members")
     placed = settled(tables.join(members.select("doc", "comp"), "doc"), "placed")
+    forget(tables)
     open_tables = settled(placed.groupBy(*TABLE).agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select(*TABLE), "open")
     mixed = settled(placed.join(open_tables, TABLE).select(*TABLE, "doc"), "mixed")
+    forget(placed, open_tables)
     home = homes(members, mixed)
     met = settled(mixed.join(home, "doc").select(*TABLE, "block", "only").distinct(), "met")
+    forget(mixed)
     other = met.select(*TABLE, F.col("block").alias("to"), F.col("only").alias("to_only"))
     pairs = met.join(other, TABLE).where((F.col("block") <= F.col("to")) & ~F.coalesce(F.col("only") == F.col("to_only"), F.lit(False)))
     pairs = settled(pairs.select("block", "to").distinct(), "pairs")
+    forget(met)
     held.append(contents := kept(home.join(texts, "doc").groupBy("block").agg(F.collect_list(F.struct("doc", "comp", "text")).alias("xs"))))
     rows = pairs.join(contents, "block").join(contents.select(F.col("block").alias("to"), F.col("xs").alias("ys")), "to")
     found = settled(first.union(confirm_blocks(rows, words, percent)), "links")
@@ -237,11 +246,12 @@ def links(docs: DataFrame, sigs: DataFrame, words: int, percent: int, id_col: st
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id, kept, class_id (the smallest id with an equal set)."""
     small_batches(docs.sparkSession)
-    sigs = settled(signatures(docs, words, bands, rows, id_col, text_col), "sigs")
+    signed = sigs = settled(signatures(docs, words, bands, rows, id_col, text_col), "signed")
     copies = sigs.where("n > 0 AND doc IS NOT NULL").groupBy("digest").agg(F.min("doc").alias("rep"), F.count("*").alias("held"))
     copies = settled(copies.where("held > 1").select("digest", "rep"), "copies")
     sigs = sigs.join(copies, "digest", "left").select("doc", "n", "left", "right", F.coalesce("rep", "doc").alias("rep"))
     sigs = settled(sigs, "sigs")
+    forget(signed, copies)
     found = links(docs, sigs.where("doc IS NOT NULL"), words, percent, id_col, text_col)
     # An id with several texts ties their classes together.
     ties = sigs.where("doc IS NOT NULL").groupBy("doc").agg(F.min("rep").alias("u"), F.max("rep").alias("v"), F.collect_set("rep").alias("reps"))

@@ -118,6 +118,15 @@ def test_near_duplicates(spark, words):
     assert collections.Counter((r.doc_id, r.n_shingles) for r in got) == collections.Counter((i, len(shingles(t, words))) for i, t in rows)
 
 
+def test_spent_tables_of_near_duplicates_are_deleted(spark):
+    common.clear(spark)
+    texts = [" ".join(f"w{j}" if j % 40 != k else "other" for j in range(90)) for k in range(30)]
+    got = near_dedup.near_duplicates(docs_of(spark, list(enumerate(texts + texts[:5])))).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 35
+    left = {name.split("-")[0] for name in os.listdir(common.scratch(spark).removeprefix("file:"))}
+    assert "sigs" in left and not left & {"signed", "copies", "hot", "tables", "centres", "placed", "open", "mixed", "met"}
+
+
 def test_near_duplicates_of_an_empty_table(empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
