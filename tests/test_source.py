@@ -732,3 +732,36 @@ def test_only_the_columns_of_the_table_are_read(spark, tmp_path):
     assert read(T.StructType([T.StructField("k", T.IntegerType()), T.StructField("MessageId", T.StringType())])) == {"k": 1, "MessageId": "m0"}
     assert read(schemaMode="raw", metadataMode="full")["attributes"] == {"a": "b"}
     assert asked == ["body,messageid,publishtime,orderingkey", "body,messageid,publishtime", "body,messageid", "body,messageid,publishtime,orderingkey,ackid,attributes"]
+
+
+def test_packed_rows_are_the_messages(spark, monkeypatch):
+    """What a task hands on as it lies holds the batch's messages, cut where the batch ends, in rows of a bounded size."""
+    r, _ = opened(spark, batchCount="20001")
+    start, end = r.initialOffset(), r.latestOffset()
+    plain = [t for p in r.partitions(start, end) for t in r.read(p)]
+    r.rows = source.Packed(["publishtime", "ackid", "messageid"])
+    packed = [t for p in r.partitions(start, end) for t in r.read(p)]
+    assert all(t.num_rows == 1 for t in packed) and len(packed) == 10
+    back = [t for p in packed for t in source.Rows(T.StructType([RAW["messageid"], RAW["publishtime"], RAW["ackid"]]))(pa.ipc.open_stream(p["rows"][0].as_buffer()))]
+    assert max(t.num_rows for t in back) == source.PACKED_ROWS
+    assert pa.Table.from_batches(back) == pa.Table.from_batches(plain).select(["messageid", "publishtime", "ackid"])
+    monkeypatch.setattr(source, "CHUNK_BYTES", 10_000)
+    assert max(p["rows"].nbytes for p in r.rows(iter([rows for rows in [table([(f"m{k}", b"x" * 3000, k) for k in range(50)]).rename_columns(["messageid", "size", "attributes", "publish_ms", "orderingkey", "body"])]]))) < 12_000
+    r.stop()
+
+
+@pytest.mark.parametrize("writers", ["1", "3"])
+def test_a_spread_stream_is_the_stream(spark, writers):
+    setup = stream_queries.Setup(spark, "/root/testdata/sf0.01")
+    found, tasks = {}, {}
+    for spread in (False, True):
+        setup.publish(stream_queries.messages(spark, "/root/testdata/sf0.001").withColumn("messageid", F.concat(F.lit(f"{1 + spread}0000"), "messageid")))
+        given = setup.options | {"numWriters": writers, "schemaMode": "raw", "metadataMode": "full"}
+
+        def keep(df, _, spread=spread):
+            tasks[spread] = df.rdd.getNumPartitions()
+            found[spread] = sorted((r["messageid"][5:], bytes(r["body"]), r["publishtime"], r["orderingkey"], r["ackid"][5:], tuple(r["attributes"].items())) for r in df.where(F.length("messageid") > 5).collect())
+
+        stream_queries.drain(spark, given, f"{setup.folder}/checkpoint", keep, spread=spread)
+    assert found[True] == found[False] and len(found[True]) > 100
+    assert tasks == {False: int(writers), True: spark.sparkContext.defaultParallelism}
