@@ -765,3 +765,29 @@ def test_a_spread_stream_is_the_stream(spark, writers):
         stream_queries.drain(spark, given, f"{setup.folder}/checkpoint", keep, spread=spread)
     assert found[True] == found[False] and len(found[True]) > 100
     assert tasks == {False: int(writers), True: spark.sparkContext.defaultParallelism}
+
+
+def test_parts_that_lie_in_order_stay_where_they_are(spark, monkeypatch):
+    lie = lambda *parts: spark.createDataFrame(spark.sparkContext.parallelize(range(len(parts)), len(parts)).flatMap(lambda k: [(i,) for i in range(*parts[k])]), "id long")
+    lies = lambda df, key=F.col("id"): stream_queries.lies_in_order(df, key)
+    ranges = (300, 400), (0, 100), (100, 200)
+    apart = lie(*ranges)
+    assert lies(apart) and lies(apart.where("false")) and lies(apart.where("id < 50"))
+    assert not lies(lie(*ranges, (50, 60))) and not lies(lie(*ranges, (399, 410))) and not lies(apart, F.when(F.col("id") != 7, F.col("id")))
+    monkeypatch.setattr(stream_queries, "AT_ONCE", 60)
+    assert not lies(lie(*ranges, (1000, 1500)))  # one part of much more than its share
+
+    def rows(df):
+        return df.select(F.col("id").cast("string").alias("messageid"), F.lit(b"x").alias("body"), F.timestamp_seconds("id").alias("publishtime"), F.lit("").alias("orderingkey"), F.create_map(F.lit("a"), F.lit("b")).alias("attributes"))
+
+    def fed(df):
+        folder = stream_queries.shared_folder(spark)
+        return [i for c in stream_queries.feed(rows(df), f"{folder}/feed", F.col("messageid").cast("long")) for i in pa.ipc.open_stream(c.rows).read_next_batch()["messageid"].to_pylist()]
+
+    expected = [str(k) for k in (*range(200), *range(300, 400))]
+    dealt = stream_queries.in_order
+    monkeypatch.setattr(stream_queries, "in_order", None)
+    assert fed(apart) == expected
+    monkeypatch.setattr(stream_queries, "lies_in_order", lambda *_: True)  # parts that lay otherwise when they were told
+    monkeypatch.setattr(stream_queries, "in_order", dealt)
+    assert fed(spark.range(0, 100, 1, 3).repartition(3).select("id")) == expected[:100]
