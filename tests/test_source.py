@@ -791,3 +791,10 @@ def test_parts_that_lie_in_order_stay_where_they_are(spark, monkeypatch):
     monkeypatch.setattr(stream_queries, "lies_in_order", lambda *_: True)  # parts that lay otherwise when they were told
     monkeypatch.setattr(stream_queries, "in_order", dealt)
     assert fed(spark.range(0, 100, 1, 3).repartition(3).select("id")) == expected[:100]
+
+
+def test_windows_read_their_time_alone(spark, monkeypatch):
+    told, drain = [], stream_queries.drain
+    monkeypatch.setattr(stream_queries, "drain", lambda *a, **k: told.append(k) or drain(*a, **k))
+    assert stream_queries.stream_window_agg(spark, "/root/testdata/sf0.001").count() > 10
+    assert told[0]["schema"].names == ["publishtime"] and told[0]["spread"]
