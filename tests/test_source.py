@@ -793,6 +793,18 @@ def test_parts_that_lie_in_order_stay_where_they_are(spark, monkeypatch):
     assert fed(spark.range(0, 100, 1, 3).repartition(3).select("id")) == expected[:100]
 
 
+def test_pairs_near_in_time_are_looked_for_within_an_hour(spark):
+    """Many rows of one key: a pair comes once, over the ends of hours too, and what is compared is bounded by time."""
+    left = [(k % 3, k, (k * 7919) % 20_000 - 9000) for k in range(600)]
+    right = [(k % 3, k, (k * 104_729) % 20_000 - 9000) for k in range(600)] + [(0, 9000 + k, k * 3600 + d) for k in range(3) for d in (-1, 0, 1, 299, 300, 301)] + [(0, 9100 + d, 3600 + d) for d in (0, 300)]
+    left += [(0, 8000, 0), (0, 8001, 3600), (0, 8002, 3300), (0, 8003, 3599)]
+    frame = lambda rows, side: spark.createDataFrame(rows, f"{side}_key int, {side}_id int, s int").withColumn(f"{side}_time", F.timestamp_seconds("s")).drop("s")
+    pairs = stream_queries.near_pairs(frame(left, "left"), frame(right, "right"))
+    expected = sorted((a, b) for k, a, s in left for m, b, t in right if k == m and s <= t <= s + 300)
+    assert sorted(tuple(r) for r in pairs.select("left_id", "right_id").collect()) == expected and len(expected) > 100
+    assert "left_hour" in pairs.columns and pairs.where("left_hour <> right_hour").count() == 0
+
+
 def test_windows_read_their_time_alone(spark, monkeypatch):
     told, drain = [], stream_queries.drain
     monkeypatch.setattr(stream_queries, "drain", lambda *a, **k: told.append(k) or drain(*a, **k))
