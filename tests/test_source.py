@@ -805,6 +805,25 @@ def test_pairs_near_in_time_are_looked_for_within_an_hour(spark):
     assert "left_hour" in pairs.columns and pairs.where("left_hour <> right_hour").count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 90])
+def test_a_join_takes_all_pairs(spark, tmp_path, monkeypatch, most):
+    """Every message is on both sides, whatever its id, and however many batches they come in; ids do not run with time."""
+
+    class Small(stream_queries.Setup):
+        def __init__(self, *args, **options):
+            super().__init__(*args, **options)
+            self.options["batchCount"] = str(most)
+
+    monkeypatch.setattr(stream_queries, "Setup", Small)
+    rows = [(k * 77 % 201 - 50, k % 3, k * 97 - 9000) for k in range(201)] + [(1000, 0, 300), (1002, 0, 0), (1004, 1, 8000), (1005, 1, 8000)]
+    table = spark.createDataFrame(rows, "event_id long, user_id long, s long").select("event_id", "user_id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), F.lit("view").alias("event_type"), F.lit("{}").alias("props"))
+    table.write.parquet(f"{tmp_path}/events.parquet")
+    parts, told = spark.conf.get("spark.sql.shuffle.partitions"), stream_queries.stream_join(spark, str(tmp_path))
+    expected = sorted((str(a), str(b)) for a, u, s in rows for b, v, t in rows if u == v and s <= t <= s + 300)
+    assert sorted(tuple(r) for r in told.collect()) == expected and len(expected) > 2 * len(rows) - 10
+    assert spark.conf.get("spark.sql.shuffle.partitions") == parts
+
+
 def test_windows_read_their_time_alone(spark, monkeypatch):
     told, drain = [], stream_queries.drain
     monkeypatch.setattr(stream_queries, "drain", lambda *a, **k: told.append(k) or drain(*a, **k))
